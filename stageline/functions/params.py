@@ -10,23 +10,30 @@ from pyspark.sql import functions as F
 from stageline import schemas
 
 
-def typed_fields(document: Column, types: Mapping[str, str]) -> dict[str, Column]:
-    """Fields of a JSON text by name, each cast to its type; a bad value is null.
+def with_fields(df: DataFrame, document: Column, types: Mapping[str, str]) -> DataFrame:
+    """Add fields of a JSON text by name, each cast to its type; a bad value is null.
 
-    The text is parsed once. Numbers pass through a variant, so that ``3.7`` and
-    ``"3"`` become 3 while the text ``"3.7"`` is not an integer.
+    Numbers pass through a variant, so that ``3.7`` and ``"3"`` become 3 while the
+    text ``"3.7"`` is not an integer. The parsed text is a column of its own
+    projection: written into each field, it would be parsed once per field.
     """
     schema = ", ".join(f"{n} {'string' if t == 'string' else 'variant'}" for n, t in types.items())
-    parsed = F.from_json(document, schema)
-    return {
-        name: parsed[name] if dtype == "string" else F.try_variant_get(parsed[name], "$", dtype)
-        for name, dtype in types.items()
-    }
+    parsed = F.col("_parsed")
+    return (
+        df.withColumn("_parsed", F.from_json(document, schema))
+        .withColumns(
+            {
+                name: parsed[name] if dtype == "string" else F.try_variant_get(parsed[name], "$", dtype)
+                for name, dtype in types.items()
+            }
+        )
+        .drop("_parsed")
+    )
 
 
 def with_params(jobs: DataFrame, column: str = "job_param") -> DataFrame:
     """Replace the JSON column by its seven typed fields."""
-    return jobs.withColumns(typed_fields(F.col(column), schemas.PARAM_TYPES)).drop(column)
+    return with_fields(jobs, F.col(column), schemas.PARAM_TYPES).drop(column)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Rows before a group's end mark, and rows that are not too old."""
+"""Messages before the end mark of their batch, and messages that are not too old."""
 
 from __future__ import annotations
 
@@ -10,40 +10,44 @@ from stageline import schemas
 SALTS = 32
 
 
-def end_marks(messages: DataFrame, group: str, seq: str, is_mark: Column) -> DataFrame:
-    """The first end mark of each group that has one: (group, stop_seq)."""
-    return messages.where(is_mark).groupBy(group).agg(F.min(seq).alias("stop_seq"))
+def end_marks(
+    messages: DataFrame, is_mark: Column, batch: list[str] = schemas.INSTANCE_KEY
+) -> DataFrame:
+    """The first end mark of each batch that has one: the batch and ``stop_seq``."""
+    return messages.where(is_mark).groupBy(*batch).agg(F.min("seq").alias("stop_seq"))
 
 
 def before_end_mark(
     messages: DataFrame,
     marks: DataFrame,
-    group: str,
-    seq: str,
     keep_open: bool = False,
+    batch: list[str] = schemas.INSTANCE_KEY,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Messages ahead of their group's end mark.
+    """Messages ahead of the end mark of their batch.
 
-    Groups without a mark are dropped, or kept whole with ``keep_open``.
+    Batches without a mark are dropped, or kept whole with ``keep_open``.
 
-    One group may hold much of all messages, and ``marks`` is an aggregate, which
-    AQE does not split against. So the group is spread by its sequence number over
-    ``salts`` keys, and the single mark row of a group is repeated for each.
+    One batch may hold much of all messages, and ``marks`` is an aggregate, which
+    AQE does not split against. So a batch is spread by its sequence numbers over
+    ``salts`` keys, and its single mark row is repeated for each.
     """
-    salted = messages.withColumn("_salt", F.pmod(F.xxhash64(seq), F.lit(salts)).cast("int"))
+    salted = messages.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
     spread = marks.select(
-        group, "stop_seq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+        *batch, "stop_seq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     )
-    joined = salted.join(spread, [group, "_salt"], "left" if keep_open else "inner")
-    ahead = F.col(seq) < F.col("stop_seq")
+    joined = salted.join(spread, [*batch, "_salt"], "left" if keep_open else "inner")
+    ahead = F.col("seq") < F.col("stop_seq")
     if keep_open:
         ahead = F.col("stop_seq").isNull() | ahead
     return joined.where(ahead).select(*messages.columns)
 
 
 def not_expired(
-    messages: DataFrame, sent: str, newest: Column | None = None, seconds: int = schemas.RETENTION_SECONDS
+    messages: DataFrame,
+    newest: Column | None = None,
+    seconds: int = schemas.RETENTION_SECONDS,
+    sent: str = "sent",
 ) -> DataFrame:
     """Messages sent at most ``seconds`` before ``newest``, by default the newest sent.
 

@@ -24,16 +24,13 @@ def active_tables(
 
 
 def active_table_counts(details: DataFrame, on: list[str] = schemas.INSTANCE_KEY) -> DataFrame:
-    """How many active tables each instance has, with the first and last name."""
-    return (
-        details.where(F.col("is_active") == schemas.YES)
-        .groupBy(*on)
-        .agg(
-            F.count(F.lit(1)).alias("n_tables"),
-            F.min("table_name").alias("first_table"),
-            F.max("table_name").alias("last_table"),
-        )
-    )
+    """How many active tables each instance has.
+
+    The names stay rows (``active_tables``): an instance may own much of the
+    table, and its list must not have to fit into one value.
+    """
+    active = details.where(F.col("is_active") == schemas.YES)
+    return active.groupBy(*on).agg(F.count(F.lit(1)).alias("n_tables"))
 
 
 def run_lookup(

@@ -66,14 +66,16 @@ def validate_requested(
     )
 
 
-def batch_completeness(messages: DataFrame, expected: DataFrame, group: str) -> DataFrame:
+def batch_completeness(
+    messages: DataFrame, expected: DataFrame, batch: list[str] = schemas.INSTANCE_KEY
+) -> DataFrame:
     """Whether all messages of a batch arrived.
 
-    ``expected`` holds (group, expected) once per batch; a batch of which nothing
-    arrived has received 0.
+    ``expected`` holds the batch and ``expected`` once per batch; a batch of which
+    nothing arrived has received 0.
     """
-    received = messages.groupBy(group).agg(F.count(F.lit(1)).alias("received"))
+    received = messages.groupBy(*batch).agg(F.count(F.lit(1)).alias("received"))
     n = F.coalesce(F.col("received"), F.lit(0))
-    return expected.join(received, group, "left").select(
-        group, "expected", n.alias("received"), (F.col("expected") == n).alias("complete")
+    return expected.join(received, batch, "left").select(
+        *batch, "expected", n.alias("received"), (F.col("expected") == n).alias("complete")
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stageline import schemas
+from stageline.functions.params import with_fields
 from stageline.operators.membership import is_empty, sync_flag_count
 from stageline.operators.updates import mark_synced
 from stageline.sinks.stage import refresh_stage
@@ -62,29 +63,37 @@ def plan_changes(wanted: DataFrame, listed: DataFrame, key: str = "job_name") ->
 
 
 def apply_changes(
-    wanted: DataFrame, listed: DataFrame, columns: list[str], key: str = "job_name"
+    wanted: DataFrame,
+    listed: DataFrame,
+    columns: list[str],
+    key: str = "job_name",
+    params: str = "job_param",
 ) -> DataFrame:
     """The listed state after the plan: key and ``columns``.
 
     Created and updated jobs take the wanted values, with the defaults of the
-    action for what is not set; the rest keeps the listed values.
+    action for what is not set; the rest keeps the listed values. Wanted values
+    are columns or fields of the JSON column ``params``, which is only parsed for
+    the jobs that change.
     """
-    plan = plan_changes(wanted, listed, key)
     action = F.col("action")
+    changes = action.isin("create", "update")
+    stays = (F.col("merge_side") != "left_only") & (action != "delete")
+    plan = plan_changes(wanted, listed, key).where(stays | (action == "create"))
+    if params in wanted.columns:
+        fields = {n: t for n, t in schemas.PARAM_TYPES.items() if n in columns}
+        plan = with_fields(plan, F.when(changes, F.col(params)), fields)
 
     def value(name: str) -> Column:
         old = F.col("listed")[name] if name in listed.columns else F.lit(None)
-        new = F.col(name) if name in wanted.columns else F.lit(None)
+        new = F.col(name) if name in plan.columns else F.lit(None)
         create = F.coalesce(new, F.lit(schemas.CREATE_DEFAULTS.get(name)))
         update = F.coalesce(new, F.lit(schemas.UPDATE_DEFAULTS.get(name)))
         if name in schemas.UPDATE_KEEPS:
             update = old
         return F.when(action == "create", create).when(action == "update", update).otherwise(old)
 
-    stays = (F.col("merge_side") != "left_only") & (action != "delete")
-    return plan.where(stays | (action == "create")).select(
-        key, *[value(c).alias(c) for c in columns]
-    )
+    return plan.select(key, *[value(c).alias(c) for c in columns])
 
 
 def sync_cycle(
@@ -94,14 +103,13 @@ def sync_cycle(
     root: str,
     columns: list[str],
     as_of: Column,
-    prepare=lambda jobs: jobs,
 ) -> str:
     """Bring the listed stage table in line with the jobs stage table.
 
     Does nothing when a sync is flagged as running or there are no jobs. ``as_of``
     is the time before the jobs were read, so that a job edited during the cycle
-    is newer than its stamp and is caught by the next one. ``prepare`` turns a job
-    row into the values of ``columns``. Returns ``running``, ``empty`` or ``done``.
+    is newer than its stamp and is caught by the next one. Returns ``running``,
+    ``empty`` or ``done``.
     """
     jobs = spark.table(jobs_view)
     if sync_flag_count(jobs).first()["is_running"]:
@@ -109,6 +117,6 @@ def sync_cycle(
     if is_empty(jobs).first()["is_empty"]:
         return "empty"
     listed = spark.table(listed_view)
-    refresh_stage(apply_changes(prepare(jobs), listed, columns), listed_view, f"{root}/listed")
+    refresh_stage(apply_changes(jobs, listed, columns), listed_view, f"{root}/listed")
     refresh_stage(mark_synced(jobs, as_of), jobs_view, f"{root}/jobs")
     return "done"

@@ -24,7 +24,6 @@ TABLE_OF_EVENT = {
     "view": "supplier",
     "purchase": "orders",
     "signup": "part",
-    "error": "nation",
 }
 
 
@@ -98,13 +97,12 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.max("l_returnflag").alias("flag"),
             F.max("l_linenumber").alias("lines"),
             F.max("l_quantity").alias("quantity"),
         )
         .select(
             _name("job_", "l_orderkey").alias("job_name"),
-            F.concat(F.lit("shipped "), "flag").alias("job_description"),
+            _name("shipped ", "lines").alias("job_description"),
             F.lit("1.0").alias("glue_version"),
             F.col("lines").alias("max_retries"),
             F.col("quantity").cast("int").alias("timeout_minutes"),
@@ -147,9 +145,10 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("job_instance"), _name("t_", "l_partkey").alias("table_name"))
         .agg(
-            F.max(F.when(F.col("l_linestatus") == "O", "Y").otherwise("N")).alias("is_active"),
+            F.max(F.col("l_linestatus") == "O").alias("is_active"),
             F.max("l_shipdate").alias("last_run_timestamp"),
         )
+        .withColumn("is_active", F.when(F.col("is_active"), "Y").otherwise("N"))
     )
 
 
@@ -191,16 +190,30 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ready-messages: one per event; the batch is the user, the body the type."""
+    """Ready-messages: one per event; a batch is a user's day, the body the type."""
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"),
-        _name("user_", "user_id").alias("batch"),
+        _name("user_", "user_id").alias("job_name"),
+        F.dayofmonth("ts").alias("job_instance"),
         F.col("event_type").alias("body"),
         F.col("ts").alias("sent"),
     )
 
 
 def table_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages naming given tables, with white space around some names."""
-    body = _case(F.col("body"), TABLE_OF_EVENT)
-    return messages(spark, sf_dir).withColumn("body", F.concat(body, F.lit(" ")))
+    """The same messages naming given tables, with white space around the names;
+    errors are end marks."""
+    body = F.coalesce(_case(F.col("body"), TABLE_OF_EVENT), F.lit(schemas.END_MARK))
+    return messages(spark, sf_dir).withColumn("body", F.concat(F.lit("\t"), body, F.lit(" ")))
+
+
+def message_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a user's day, from all events, last run on the first of them."""
+    return (
+        messages(spark, sf_dir)
+        .groupBy(
+            *schemas.INSTANCE_KEY,
+            F.coalesce(_case(F.col("body"), TABLE_OF_EVENT), F.lit("region")).alias("table_name"),
+        )
+        .agg(F.min("sent").alias("last_run_timestamp"))
+    )

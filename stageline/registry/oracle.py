@@ -22,7 +22,7 @@ jobs as (
 _LISTED = """
 listed as (
   select concat('job_', cast(l_orderkey as varchar)) as job_name,
-    concat('shipped ', max(l_returnflag)) as job_description, '1.0' as glue_version,
+    concat('shipped ', cast(max(l_linenumber) as varchar)) as job_description, '1.0' as glue_version,
     max(l_linenumber) as max_retries, cast(max(l_quantity) as integer) as timeout_minutes
   from lineitem group by l_orderkey
   union all
@@ -138,9 +138,22 @@ decided as (
 
 _MESSAGES = """
 messages as (
-  select event_id as seq, concat('user_', cast(user_id as varchar)) as batch, event_type as body, ts as sent
+  select event_id as seq, concat('user_', cast(user_id as varchar)) as job_name,
+    cast(day(ts) as integer) as job_instance, event_type as body, ts as sent
   from events)"""
 
+_TAKEN = """
+tabled as (
+  select *, case body when 'click' then 'customer' when 'view' then 'supplier'
+    when 'purchase' then 'orders' when 'signup' then 'part' end as table_name
+  from messages),
+taken as (
+  select t.* from tabled t left join
+    (select job_name, job_instance, min(seq) as stop_seq from messages where body = 'error'
+     group by job_name, job_instance) s
+    on t.job_name = s.job_name and t.job_instance = s.job_instance
+  where stop_seq is null or seq < stop_seq)"""
+
 _PART_REQUEST = "concat(p_brand, ' | ', p_type, '|', case when p_size > 40 then p_brand else p_name end)"
 
 
@@ -214,9 +227,7 @@ ORACLE: dict[str, str] = {
         where is_active = 'Y' and job_instance in
           (select job_instance from inst where status not in ('STARTING', 'RUNNING', 'STOPPING'))""",
     "active_table_counts": _with(_DET) + """
-        select job_instance, count(*) as n_tables, min(table_name) as first_table,
-          max(table_name) as last_table
-        from det where is_active = 'Y' group by job_instance""",
+        select job_instance, count(*) as n_tables from det where is_active = 'Y' group by job_instance""",
     "run_lookup": _with(_INST) + """
         select job_name, job_instance, job_run_id, status from inst
         where job_instance in (select l_orderkey from lineitem where l_returnflag = 'R')""",
@@ -291,9 +302,10 @@ ORACLE: dict[str, str] = {
           join part on t.p_partkey = part.p_partkey
         group by t.p_partkey""",
     "batch_completeness": _with(_MESSAGES) + """
-        select batch, count(*) as expected, count(case when body <> 'error' then 1 end) as received,
+        select job_name, job_instance, count(*) as expected,
+          count(case when body <> 'error' then 1 end) as received,
           count(*) = count(case when body <> 'error' then 1 end) as complete
-        from messages group by batch""",
+        from messages group by job_name, job_instance""",
     "pk_violations": """
         select l_orderkey, l_linenumber, count(*) as n from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
@@ -320,36 +332,47 @@ ORACLE: dict[str, str] = {
     "stream_loads": """
         select event_type as table_name, count(*) as n_messages, max(event_id) as last_seq,
           count(*) as n_rows from events group by event_type""",
-    "stream_table_loads": """
-        with named as (
-          select case event_type when 'click' then 'customer' when 'view' then 'supplier'
-              when 'purchase' then 'orders' when 'signup' then 'part' when 'error' then 'nation'
-            end as table_name, count(*) as n_messages, max(event_id) as last_seq
-          from events group by event_type),
-        sizes as (
+    "stream_table_loads": _with(_MESSAGES, _TAKEN) + """
+        , sizes as (
           select 'customer' as table_name, count(*) as n_rows from customer
           union all select 'supplier', count(*) from supplier
           union all select 'orders', count(*) from orders
-          union all select 'part', count(*) from part
-          union all select 'nation', count(*) from nation)
-        select named.table_name, n_messages, last_seq, n_rows
-        from named join sizes on named.table_name = sizes.table_name""",
+          union all select 'part', count(*) from part)
+        select t.table_name, count(*) as n_messages, max(seq) as last_seq, max(n_rows) as n_rows
+        from taken t join sizes on t.table_name = sizes.table_name group by t.table_name""",
+    "stream_details_stamped": _with(_MESSAGES, _TAKEN) + """
+        , named as (select distinct job_name, job_instance, table_name from taken)
+        select d.job_name, d.job_instance, d.table_name,
+          case when n.table_name is not null then timestamp '2002-01-01 00:00:00' else first_sent
+            end as last_run_timestamp
+        from (select job_name, job_instance, coalesce(table_name, 'region') as table_name,
+                min(sent) as first_sent
+              from tabled group by all) d
+          left join named n on d.job_name = n.job_name and d.job_instance = n.job_instance
+            and d.table_name = n.table_name""",
     "stream_retention": _with(_MESSAGES) + """
-        select seq, batch, body from messages
+        select seq, job_name, body from messages
         where sent >= (select max(sent) from messages) - interval 12 hours""",
     "message_retention": _with(_MESSAGES) + """
-        select seq, batch, body from messages
+        select seq, job_name, body from messages
         where sent >= (select max(sent) from messages) - interval 12 hours""",
     "stream_until_sentinel": _with(_MESSAGES) + """
-        select s.batch, count(m.seq) as n_messages
-        from (select batch, min(seq) as stop_seq from messages where body = 'signup' group by batch) s
-          left join messages m on m.batch = s.batch and m.seq < s.stop_seq
-        group by s.batch""",
+        select s.job_name, s.job_instance, s.n_messages, e.expected, s.n_messages = e.expected as complete
+        from (select s.job_name, s.job_instance, count(m.seq) as n_messages
+              from (select job_name, job_instance, min(seq) as stop_seq from messages
+                    where body = 'signup' group by job_name, job_instance) s
+                left join messages m on m.job_name = s.job_name and m.job_instance = s.job_instance
+                  and m.seq < s.stop_seq
+              group by s.job_name, s.job_instance) s
+          left join (select job_name, job_instance, count(*) as expected from messages
+                     where body <> 'signup' group by job_name, job_instance) e
+            on s.job_name = e.job_name and s.job_instance = e.job_instance""",
     "messages_until_sentinel": _with(_MESSAGES) + """
-        select m.seq, m.batch, m.body
-        from (select batch, min(seq) as stop_seq from messages where body = 'signup' group by batch) s
-          join messages m on m.batch = s.batch and m.seq < s.stop_seq""",
+        select m.seq, m.job_name, m.body
+        from (select job_name, min(seq) as stop_seq from messages where body = 'signup'
+              group by job_name) s
+          join messages m on m.job_name = s.job_name and m.seq < s.stop_seq""",
     "stream_latest_status": _with(_MESSAGES) + """
-        select batch, arg_max(body, seq) as last_status, max(seq) as last_seq
-        from messages group by batch""",
+        select job_name, arg_max(body, seq) as last_status, max(seq) as last_seq
+        from messages group by job_name""",
 }

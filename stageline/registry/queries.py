@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,8 +191,8 @@ def param_extract(spark, sf_dir):
 
 @query
 def param_extract_events(spark, sf_dir):
-    fields = params.typed_fields(F.col("props"), {"k": "int", "timeout_minutes": "int"})
-    events = fx.table(spark, sf_dir, "events").withColumns(fields)
+    events = fx.table(spark, sf_dir, "events").select("event_id", "props")
+    events = params.with_fields(events, F.col("props"), {"k": "int", "timeout_minutes": "int"})
     defaults = {"timeout_minutes": schemas.CREATE_DEFAULTS["timeout_minutes"]}
     return params.with_defaults(events, defaults).select("event_id", "k", "timeout_minutes")
 
@@ -358,8 +359,7 @@ APPLIED = ["job_description", "glue_version", "python_version", "max_retries", "
 
 @query
 def apply_changes(spark, sf_dir):
-    wanted = params.with_params(fx.jobs(spark, sf_dir))
-    return sync.apply_changes(wanted, fx.listed(spark, sf_dir), APPLIED)
+    return sync.apply_changes(fx.jobs(spark, sf_dir), fx.listed(spark, sf_dir), APPLIED)
 
 
 @query
@@ -371,7 +371,7 @@ def sync_cycle(spark, sf_dir):
     stage.refresh_stage(jobs, jobs_view, f"{folder}/jobs")
     listed = fx.listed(spark, sf_dir).withColumn("python_version", F.lit(None).cast("string"))
     stage.refresh_stage(listed, listed_view, f"{folder}/listed")
-    sync.sync_cycle(spark, jobs_view, listed_view, folder, APPLIED, _stamp(), params.with_params)
+    sync.sync_cycle(spark, jobs_view, listed_view, folder, APPLIED, _stamp())
     return spark.table(listed_view)
 
 
@@ -475,9 +475,9 @@ def membership_validate_lists(spark, sf_dir):
 @query
 def batch_completeness(spark, sf_dir):
     messages = fx.messages(spark, sf_dir)
-    expected = messages.groupBy("batch").agg(F.count(F.lit(1)).alias("expected"))
+    expected = messages.groupBy(*schemas.INSTANCE_KEY).agg(F.count(F.lit(1)).alias("expected"))
     arrived = messages.where(F.col("body") != "error")
-    return membership.batch_completeness(arrived, expected, "batch")
+    return membership.batch_completeness(arrived, expected)
 
 
 # --------------------------------------------------------------------- checks
@@ -552,24 +552,34 @@ def stream_loads(spark, sf_dir):
     return loads.load_report(spark, folder).join(rows, "table_name")
 
 
-@query
-def stream_table_loads(spark, sf_dir):
-    """Messages name given tables of different columns; each is refreshed once per micro-batch."""
-    folder = shared_folder(spark, "stream_table_loads")
+def _run_table_loads(spark, sf_dir, purpose):
+    folder = shared_folder(spark, purpose)
     sources = {t: f"{sf_dir}/{t}.parquet" for t in fx.TABLE_OF_EVENT.values()}
     inbox = _message_folder(fx.table_messages(spark, sf_dir), folder)
-    view = _view(folder, "{}")
-    loads.run_table_loads(read_messages(spark, inbox), sources, view, folder).awaitTermination()
+    views, details_view = _view(folder, "{}"), _view(folder, "job_details")
+    stage.refresh_stage(fx.message_details(spark, sf_dir), details_view, f"{folder}/details")
+    loads.run_table_loads(
+        read_messages(spark, inbox), sources, views, folder, details_view, _stamp()
+    ).awaitTermination()
+    return folder, {t: spark.table(views.format(t)) for t in sources}, spark.table(details_view)
+
+
+@query
+def stream_table_loads(spark, sf_dir):
+    """Messages name given tables of different columns; each is refreshed once per
+    micro-batch. What follows the end mark of a batch is not loaded."""
+    folder, staged, _ = _run_table_loads(spark, sf_dir, "stream_table_loads")
     rows = [
-        spark.table(view.format(t))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(t).alias("table_name"), "n_rows")
-        for t in sources
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+        for t, df in staged.items()
     ]
-    counts = rows[0]
-    for other in rows[1:]:
-        counts = counts.union(other)
-    return loads.load_report(spark, folder).join(counts, "table_name")
+    return loads.load_report(spark, folder).join(reduce(DataFrame.union, rows), "table_name")
+
+
+@query
+def stream_details_stamped(spark, sf_dir):
+    """The details after the same loads: loaded tables are stamped, the others keep theirs."""
+    return _run_table_loads(spark, sf_dir, "stream_details_stamped")[2]
 
 
 @query
@@ -577,29 +587,32 @@ def stream_retention(spark, sf_dir):
     folder = shared_folder(spark, "stream_retention")
     inbox = _message_folder(fx.messages(spark, sf_dir), folder)
     loads.run_retention(read_messages(spark, inbox), folder).awaitTermination()
-    return spark.read.parquet(f"{folder}/kept").select("seq", "batch", "body")
+    return spark.read.parquet(f"{folder}/kept").select("seq", "job_name", "body")
 
 
 @query
 def message_retention(spark, sf_dir):
     """The same on a frame."""
-    return end_mark.not_expired(fx.messages(spark, sf_dir), "sent").select("seq", "batch", "body")
+    return end_mark.not_expired(fx.messages(spark, sf_dir)).select("seq", "job_name", "body")
 
 
 @query
 def stream_until_sentinel(spark, sf_dir):
+    """Batches that got their end mark: messages taken, messages sent, complete or not."""
     folder = shared_folder(spark, "stream_until_sentinel")
-    inbox = _message_folder(fx.messages(spark, sf_dir), folder)
+    messages = fx.messages(spark, sf_dir)
+    inbox = _message_folder(messages, folder)
     loads.run_until_end_mark(read_messages(spark, inbox), folder, "signup").awaitTermination()
-    return loads.closed_batches(spark, folder)
+    sent = messages.where(F.col("body") != "signup").groupBy(*schemas.INSTANCE_KEY)
+    return loads.batch_report(spark, folder, sent.agg(F.count(F.lit(1)).alias("expected")))
 
 
 @query
 def messages_until_sentinel(spark, sf_dir):
-    """The messages themselves, on a frame."""
-    messages = fx.messages(spark, sf_dir)
-    marks = end_mark.end_marks(messages, "batch", "seq", F.col("body") == "signup")
-    return end_mark.before_end_mark(messages, marks, "batch", "seq").select("seq", "batch", "body")
+    """The messages themselves, on a frame, per user."""
+    messages, user = fx.messages(spark, sf_dir), ["job_name"]
+    marks = end_mark.end_marks(messages, F.col("body") == "signup", user)
+    return end_mark.before_end_mark(messages, marks, batch=user).select("seq", "job_name", "body")
 
 
 @query
@@ -607,6 +620,6 @@ def stream_latest_status(spark, sf_dir):
     folder = shared_folder(spark, "stream_latest_status")
     inbox = _message_folder(fx.messages(spark, sf_dir), folder)
     run_states.run_state_log(
-        read_messages(spark, inbox), "batch", folder, state="body"
+        read_messages(spark, inbox), "job_name", folder, state="body"
     ).awaitTermination()
-    return run_states.read_state_log(spark, folder, "batch")
+    return run_states.read_state_log(spark, folder, "job_name")

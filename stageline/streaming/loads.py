@@ -1,4 +1,8 @@
-"""Message-driven loads: each message names a table that is ready to be loaded."""
+"""Message-driven loads: each message names a table that is ready to be loaded.
+
+Every step keeps what it decided per micro-batch in a folder under ``root``, so
+that a later micro-batch or a report can read it, and a repeated one replaces it.
+"""
 
 from __future__ import annotations
 
@@ -16,21 +20,62 @@ from stageline.sinks.stage import refresh_stage
 from stageline.sinks.tables import in_flight, overwrite_partitions
 from stageline.streaming.messages import drain, read_batches, write_batch
 
-LOAD_LOG = "table_name string, n_messages bigint, last_seq bigint"
-ACCEPTED_LOG = "batch string, body string, n_messages bigint, last_seq bigint"
-MARK_LOG = "batch string, stop_seq bigint"
+BATCH = schemas.INSTANCE_KEY
+LOADS = "job_name string, job_instance int, table_name string, n_messages bigint, last_seq bigint"
+MARKS = "job_name string, job_instance int, stop_seq bigint"
+NEWEST = "newest timestamp_ntz"
 
 
 def named_tables(messages: DataFrame) -> DataFrame:
-    """The tables that messages name: one row each, with count and last sequence.
+    """The tables that messages name: one row per batch and table, with the count
+    of messages and the last sequence number.
 
     A load is a full refresh, so many messages for one table need one load.
     """
-    return messages.groupBy(strip(F.col("body")).alias("table_name")).agg(
+    return messages.groupBy(*BATCH, strip(F.col("body")).alias("table_name")).agg(
         F.count(F.lit(1)).alias("n_messages"), F.max("seq").alias("last_seq")
     )
 
 
+def before_known_marks(
+    messages: DataFrame, batch_id: int, root: str, mark: str = schemas.END_MARK
+) -> DataFrame:
+    """Messages of a micro-batch ahead of the end mark of their batch, if it is known.
+
+    Messages come in order, as from a FIFO queue: none that precedes a mark comes
+    in a later micro-batch than the mark.
+    """
+    spark = messages.sparkSession
+    write_batch(end_marks(messages, strip(F.col("body")) == mark), f"{root}/marks", batch_id)
+    known = read_batches(spark, f"{root}/marks", MARKS).where(F.col("batch_id") <= batch_id)
+    marks = known.groupBy(*BATCH).agg(F.min("stop_seq").alias("stop_seq"))
+    return before_end_mark(messages, marks, keep_open=True)
+
+
+def not_expired_so_far(
+    messages: DataFrame, batch_id: int, root: str, seconds: int = schemas.RETENTION_SECONDS
+) -> DataFrame:
+    """Messages of a micro-batch that are not older than ``seconds`` against the
+    newest message seen in this or an earlier one."""
+    spark = messages.sparkSession
+    write_batch(messages.agg(F.max("sent").alias("newest")), f"{root}/newest", batch_id)
+    seen = read_batches(spark, f"{root}/newest", NEWEST).where(F.col("batch_id") <= batch_id)
+    newest = seen.agg(F.max("newest").alias("newest")).first()["newest"]
+    return not_expired(messages, F.lit(newest).cast("timestamp_ntz"), seconds)
+
+
+def _take(messages, batch_id, root, mark, seconds) -> DataFrame:
+    """Note in the load log what the micro-batch names, and read it back."""
+    spark = messages.sparkSession
+    taken = messages
+    if seconds is not None:
+        taken = not_expired_so_far(taken, batch_id, root, seconds)
+    if mark is not None:
+        taken = before_known_marks(taken, batch_id, root, mark)
+    write_batch(named_tables(taken), f"{root}/loads", batch_id)
+    return spark.read.schema(LOADS).parquet(f"{root}/loads/batch_id={batch_id}")
+
+
 def run_table_loads(
     stream: DataFrame,
     sources: Mapping[str, str],
@@ -38,23 +83,25 @@ def run_table_loads(
     root: str,
     details_view: str | None = None,
     as_of: Column | None = None,
+    mark: str | None = schemas.END_MARK,
+    seconds: int | None = None,
 ) -> StreamingQuery:
     """Refresh the stage table of every table that is named, then stamp its details.
 
     ``sources`` maps the tables that may be loaded to their Parquet folders;
-    ``stage_view`` is the view name with ``{}`` for the table. A message that
-    names another table stops the stream before anything of its micro-batch is
-    loaded. What reaches the driver is at most one row per entry of ``sources``.
+    ``stage_view`` is the view name with ``{}`` for the table. Messages after the
+    end mark of their batch, or older than ``seconds``, load nothing. A message
+    that names another table stops the stream before anything of its micro-batch
+    is loaded. What reaches the driver is at most one row per entry of ``sources``.
     """
 
     def handle(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        write_batch(named_tables(messages), f"{root}/loads", batch_id)
-        named = spark.read.schema(LOAD_LOG).parquet(f"{root}/loads/batch_id={batch_id}")
+        named = _take(messages, batch_id, root, mark, seconds)
         known = F.col("table_name").isin(list(sources))
         if not named.where(~known).isEmpty():
             raise ValueError("a message names a table that has no source")
-        tables = [r["table_name"] for r in named.where(known).select("table_name").collect()]
+        tables = [r["table_name"] for r in named.where(known).select("table_name").distinct().collect()]
 
         def load(table):
             return lambda: refresh_stage(
@@ -63,14 +110,19 @@ def run_table_loads(
 
         in_flight([load(t) for t in tables], spark)
         if details_view:
-            stamped = stamp_details(spark.table(details_view), named, as_of, ["table_name"])
+            stamped = stamp_details(spark.table(details_view), named, as_of)
             refresh_stage(stamped, details_view, f"{root}/details")
 
     return drain(stream, handle, f"{root}/checkpoint")
 
 
 def run_partition_loads(
-    stream: DataFrame, source: str, stage: str, root: str
+    stream: DataFrame,
+    source: str,
+    stage: str,
+    root: str,
+    mark: str | None = schemas.END_MARK,
+    seconds: int | None = None,
 ) -> StreamingQuery:
     """Like ``run_table_loads`` for tables of one schema kept in one dataset.
 
@@ -79,12 +131,8 @@ def run_partition_loads(
     """
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        write_batch(named_tables(messages), f"{root}/loads", batch_id)
-        named = spark.read.schema(LOAD_LOG).parquet(f"{root}/loads/batch_id={batch_id}")
-        rows = spark.read.parquet(source).join(
-            named.select("table_name"), "table_name", "left_semi"
-        )
+        named = _take(messages, batch_id, root, mark, seconds).select("table_name").distinct()
+        rows = messages.sparkSession.read.parquet(source).join(named, "table_name", "left_semi")
         overwrite_partitions(rows, stage, ["table_name"])
 
     return drain(stream, handle, f"{root}/checkpoint")
@@ -93,75 +141,49 @@ def run_partition_loads(
 def load_report(spark: SparkSession, root: str) -> DataFrame:
     """Per table: messages taken and the last of them, over all micro-batches."""
     return (
-        read_batches(spark, f"{root}/loads", LOAD_LOG)
+        read_batches(spark, f"{root}/loads", LOADS)
         .groupBy("table_name")
         .agg(F.sum("n_messages").alias("n_messages"), F.max("last_seq").alias("last_seq"))
     )
 
 
+def batch_report(spark: SparkSession, root: str, expected: DataFrame | None = None) -> DataFrame:
+    """Messages taken per batch that has its end mark; open batches are left out.
+
+    With ``expected`` (the batch and its stated size) also whether all arrived.
+    """
+    taken = (
+        read_batches(spark, f"{root}/loads", LOADS)
+        .groupBy(*BATCH)
+        .agg(F.sum("n_messages").alias("n_messages"))
+    )
+    marks = read_batches(spark, f"{root}/marks", MARKS).select(*BATCH).distinct()
+    n = F.coalesce(F.col("n_messages"), F.lit(0).cast("bigint"))
+    report = marks.join(taken, BATCH, "left").select(*BATCH, n.alias("n_messages"))
+    if expected is None:
+        return report
+    complete = F.col("n_messages") == F.col("expected")
+    return report.join(expected, BATCH, "left").withColumn("complete", complete)
+
+
 def run_until_end_mark(
     stream: DataFrame, root: str, mark: str = schemas.END_MARK
 ) -> StreamingQuery:
-    """Take the messages of each batch up to its end mark.
-
-    Messages come in order, as from a FIFO queue: none that precedes a mark comes
-    in a later micro-batch than the mark. Marks are kept, so what follows one in a
-    later micro-batch is left out too.
-    """
-    is_mark = strip(F.col("body")) == mark
+    """Take the messages of each batch up to its end mark, for ``batch_report``."""
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        new = end_marks(messages, "batch", "seq", is_mark)
-        if batch_id:
-            earlier = read_batches(spark, f"{root}/marks", MARK_LOG)
-            earlier = earlier.where(F.col("batch_id") < batch_id).drop("batch_id")
-            marks = earlier.unionByName(new).groupBy("batch").agg(F.min("stop_seq").alias("stop_seq"))
-        else:
-            marks = new
-        taken = before_end_mark(messages, marks, "batch", "seq", keep_open=True)
-        per_table = taken.groupBy("batch", strip(F.col("body")).alias("body")).agg(
-            F.count(F.lit(1)).alias("n_messages"), F.max("seq").alias("last_seq")
-        )
-        write_batch(per_table, f"{root}/accepted", batch_id)
-        write_batch(new, f"{root}/marks", batch_id)
+        _take(messages, batch_id, root, mark, None)
 
     return drain(stream, handle, f"{root}/checkpoint")
 
 
-def closed_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Messages taken per batch that has its end mark; open batches are left out."""
-    taken = (
-        read_batches(spark, f"{root}/accepted", ACCEPTED_LOG)
-        .groupBy("batch")
-        .agg(F.sum("n_messages").alias("n_messages"))
-    )
-    marks = read_batches(spark, f"{root}/marks", MARK_LOG).select("batch").distinct()
-    n = F.coalesce(F.col("n_messages"), F.lit(0).cast("bigint"))
-    return marks.join(taken, "batch", "left").select("batch", n.alias("n_messages"))
-
-
 def run_retention(
     stream: DataFrame, root: str, seconds: int = schemas.RETENTION_SECONDS
 ) -> StreamingQuery:
-    """Keep the messages that had not expired when their micro-batch was taken.
-
-    The clock is the newest message seen so far, in this or an earlier batch.
-    """
+    """Keep the messages that had not expired when their micro-batch was taken."""
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        seen = messages.agg(F.max("sent").alias("newest"))
-        if batch_id:
-            earlier = read_batches(spark, f"{root}/newest", "newest timestamp_ntz")
-            earlier = earlier.where(F.col("batch_id") < batch_id).select("newest")
-            seen = earlier.unionByName(seen).agg(F.max("newest").alias("newest"))
-        write_batch(seen, f"{root}/newest", batch_id)
-        newest = spark.read.parquet(f"{root}/newest/batch_id={batch_id}").first()["newest"]
-        write_batch(
-            not_expired(messages, "sent", F.lit(newest).cast("timestamp_ntz"), seconds),
-            f"{root}/kept",
-            batch_id,
-        )
+        live = not_expired_so_far(messages, batch_id, root, seconds)
+        write_batch(live, f"{root}/kept", batch_id)
 
     return drain(stream, handle, f"{root}/checkpoint")

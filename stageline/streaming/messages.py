@@ -1,9 +1,9 @@
 """Ready-messages: a folder of Parquet files that grows, read as a stream.
 
-A message is one row: ``seq`` (its place in the order), ``batch`` (the group it
-belongs to, one batch of loads), ``body`` (a table name or the end mark) and
-``sent``. Files carry no order among themselves, so order is always taken from
-``seq``.
+A message is one row: ``seq`` (its place in the order), ``job_name`` and
+``job_instance`` (whose batch of loads it belongs to), ``body`` (a table name or
+the end mark) and ``sent``. Files carry no order among themselves, so order is
+always taken from ``seq``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-MESSAGE_SCHEMA = "seq bigint, batch string, body string, sent timestamp_ntz"
+MESSAGE_SCHEMA = (
+    "seq bigint, job_name string, job_instance int, body string, sent timestamp_ntz"
+)
 
 
 def read_messages(
