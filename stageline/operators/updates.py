@@ -60,6 +60,25 @@ def update_instances(
     return keyed_update(instances, updates, on, ["job_run_id", "status"], latest_by)
 
 
+def mark_started(
+    instances: DataFrame, started: DataFrame, on: list[str] = schemas.INSTANCE_KEY
+) -> DataFrame:
+    """Store the run id of new runs; their state is unknown until they report."""
+    updates = started.select(*on, "job_run_id", F.lit(schemas.STATE_UNKNOWN).alias("status"))
+    return update_instances(instances, updates, on)
+
+
+def mark_ended(
+    instances: DataFrame,
+    states: DataFrame,
+    on: list[str] = schemas.INSTANCE_KEY,
+    latest_by: str | None = None,
+) -> DataFrame:
+    """Store the last state of the runs that have ended; others are not touched."""
+    ended = states.where(F.col("status").isin(schemas.STATES_TERMINAL))
+    return update_instances(instances, ended, on, latest_by)
+
+
 def stamp_details(
     details: DataFrame,
     loaded: DataFrame,

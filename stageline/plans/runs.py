@@ -59,7 +59,10 @@ def decide_runs(
 def tables_to_load(
     decided: DataFrame, details: DataFrame, on: list[str] = schemas.INSTANCE_KEY
 ) -> DataFrame:
-    """One row per table of the runs that start: the listed or else the active ones."""
+    """One row per table of the runs that start: the listed or else the active ones.
+
+    ``decided`` is used twice; write it first when it is not a stored table.
+    """
     started = decided.where(F.col("decision") == "start")
     listed = started.where(F.col("tables").isNotNull()).select(*on, "tables")
     default = started.where(F.col("tables").isNull()).select(*on)

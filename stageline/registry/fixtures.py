@@ -69,6 +69,21 @@ def job_param() -> Column:
     )
 
 
+def _definition() -> list[Column]:
+    return [
+        _name("job_", "o_orderkey").alias("job_name"),
+        F.col("o_orderpriority").alias("job_description"),
+        job_param().alias("job_param"),
+        _case(F.col("o_orderstatus"), {"F": "N", "O": "Y"}).alias("is_active"),
+        F.col("o_orderdate").alias("modified_timestamp"),
+    ]
+
+
+def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted jobs, one per order, without their sync stamp."""
+    return table(spark, sf_dir, "orders").select(*_definition())
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wanted jobs: one per order, synced when its last line was shipped."""
     shipped = (
@@ -80,14 +95,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .join(shipped, "o_orderkey", "left")
-        .select(
-            _name("job_", "o_orderkey").alias("job_name"),
-            F.col("o_orderpriority").alias("job_description"),
-            job_param().alias("job_param"),
-            _case(F.col("o_orderstatus"), {"F": "N", "O": "Y"}).alias("is_active"),
-            F.col("o_orderdate").alias("modified_timestamp"),
-            F.coalesce("shipped", never).alias("last_sync_timestamp"),
-        )
+        .select(*_definition(), F.coalesce("shipped", never).alias("last_sync_timestamp"))
     )
 
 

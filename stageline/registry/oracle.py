@@ -248,6 +248,17 @@ ORACLE: dict[str, str] = {
         union all
         select d.job_instance, d.table_name from det d join decided q on d.job_instance = q.job_instance
         where q.decision = 'start' and q.given is null and d.is_active = 'Y'""",
+    "run_starts_stored": _with(_INST, _DET, _RUNS, _GATE, _REQUESTS) + """
+        select i.job_name, i.job_instance,
+          case when decision = 'start' then concat('new_', cast(i.job_instance as varchar))
+            else job_run_id end as job_run_id,
+          case when decision = 'start' then 'UNKNOWN' else status end as status
+        from inst i join decided q on i.job_instance = q.job_instance""",
+    "run_ends_stored": _with(_INST, _RUNS) + """
+        select i.job_name, i.job_instance, i.job_run_id,
+          case when actual_status in ('SUCCEEDED', 'FAILED', 'TIMEOUT') then actual_status
+            else status end as status
+        from inst i left join runs r on i.job_run_id = r.job_run_id""",
     "merge_indicator": _with(_JOBS, _LISTED, _PLAN) + "select job_name, is_active, merge_side from merged",
     "sync_plan": _with(_JOBS, _LISTED, _PLAN) + "select job_name, action from plan",
     "sync_plan_counts": _with(_JOBS, _LISTED, _PLAN)

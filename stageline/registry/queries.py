@@ -107,10 +107,7 @@ def control_scan(spark, sf_dir):
     folder = shared_folder(spark, "control_scan")
     database = _view(folder, "control")
     control.create_control_tables(spark, database, folder)
-    jobs = fx.jobs(spark, sf_dir).select(
-        "job_name", "job_description", "job_param", "is_active", "modified_timestamp"
-    )
-    control.append_rows(jobs, f"{database}.jobs")
+    control.append_rows(fx.job_definitions(spark, sf_dir), f"{database}.jobs")
     return control.scan_control(spark, database, "jobs").select(
         "job_name",
         "job_description",
@@ -185,7 +182,7 @@ def status_class(spark, sf_dir):
 
 @query
 def param_extract(spark, sf_dir):
-    jobs = params.with_params(fx.jobs(spark, sf_dir).select("job_name", "job_param"))
+    jobs = params.with_params(fx.job_definitions(spark, sf_dir).select("job_name", "job_param"))
     return params.with_defaults(jobs, schemas.UPDATE_DEFAULTS)
 
 
@@ -199,7 +196,7 @@ def param_extract_events(spark, sf_dir):
 
 @query
 def column_defaults(spark, sf_dir):
-    jobs = fx.jobs(spark, sf_dir).select("job_name", "is_active")
+    jobs = fx.job_definitions(spark, sf_dir).select("job_name", "is_active")
     return params.with_defaults(jobs, {"is_active": schemas.NO})
 
 
@@ -300,17 +297,20 @@ def jobs_with_instances(spark, sf_dir):
     return lookups.jobs_with_instances(fx.owners(spark, sf_dir), fx.instances(spark, sf_dir))
 
 
-@query
-def run_requests(spark, sf_dir):
-    """Decision and arguments of every run request."""
-    decided = run_plans.decide_runs(
+def _decided(spark, sf_dir):
+    return run_plans.decide_runs(
         fx.requests(spark, sf_dir),
         fx.instances(spark, sf_dir),
         fx.runs(spark, sf_dir),
         fx.details(spark, sf_dir),
         INSTANCE,
     )
-    return decided.select(
+
+
+@query
+def run_requests(spark, sf_dir):
+    """Decision and arguments of every run request."""
+    return _decided(spark, sf_dir).select(
         "job_instance",
         "decision",
         F.col("arguments")["--tables"].alias("tables"),
@@ -322,16 +322,31 @@ def run_requests(spark, sf_dir):
 
 @query
 def run_request_tables(spark, sf_dir):
-    """The tables to load of every run that starts."""
-    details = fx.details(spark, sf_dir)
-    decided = run_plans.decide_runs(
-        fx.requests(spark, sf_dir),
-        fx.instances(spark, sf_dir),
-        fx.runs(spark, sf_dir),
-        details,
-        INSTANCE,
+    """The tables to load of every run that starts. The decisions are used twice, so
+    they are written first."""
+    folder = shared_folder(spark, "run_request_tables")
+    tables.write_table(_decided(spark, sf_dir).select("job_instance", "tables", "decision"), folder)
+    decided = spark.read.parquet(folder)
+    return run_plans.tables_to_load(decided, fx.details(spark, sf_dir), INSTANCE)
+
+
+@query
+def run_starts_stored(spark, sf_dir):
+    """Instances after the accepted requests were started."""
+    started = (
+        _decided(spark, sf_dir)
+        .where(F.col("decision") == "start")
+        .select("job_instance", F.concat(F.lit("new_"), F.col("job_instance").cast("string")).alias("job_run_id"))
     )
-    return run_plans.tables_to_load(decided, details, INSTANCE)
+    return updates.mark_started(fx.instances(spark, sf_dir), started, INSTANCE)
+
+
+@query
+def run_ends_stored(spark, sf_dir):
+    """Instances after their runs reported their states; only a final one is stored."""
+    reports = fx.instances(spark, sf_dir).join(fx.runs(spark, sf_dir), "job_run_id")
+    reports = reports.select("job_instance", "job_run_id", F.col("actual_status").alias("status"))
+    return updates.mark_ended(fx.instances(spark, sf_dir), reports, INSTANCE)
 
 
 # ---------------------------------------------------------------- change plan
@@ -385,7 +400,7 @@ def set_sync_flag(spark, sf_dir):
 
 @query
 def mark_synced(spark, sf_dir):
-    jobs = updates.mark_synced(fx.jobs(spark, sf_dir), _stamp())
+    jobs = updates.mark_synced(fx.job_definitions(spark, sf_dir), _stamp())
     return jobs.select("job_name", "last_sync_timestamp", "is_run_sync")
 
 
