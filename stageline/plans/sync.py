@@ -58,8 +58,13 @@ def classify() -> Column:
 
 
 def plan_changes(wanted: DataFrame, listed: DataFrame, key: str = "job_name") -> DataFrame:
-    """The merged rows with their ``action``."""
-    return merge_sides(wanted, listed, key).withColumn("action", classify())
+    """Each wanted or listed job with its ``action``.
+
+    Only the names of ``listed`` are used, each once: a name that the listing
+    repeats very often is reduced before the shuffle and gets one action.
+    """
+    names = listed.select(key).distinct()
+    return merge_sides(wanted, names, key).withColumn("action", classify())
 
 
 def apply_changes(
@@ -79,7 +84,8 @@ def apply_changes(
     action = F.col("action")
     changes = action.isin("create", "update")
     stays = (F.col("merge_side") != "left_only") & (action != "delete")
-    plan = plan_changes(wanted, listed, key).where(stays | (action == "create"))
+    plan = merge_sides(wanted, listed, key).withColumn("action", classify())
+    plan = plan.where(stays | (action == "create"))
     if params in wanted.columns:
         fields = {n: t for n, t in schemas.PARAM_TYPES.items() if n in columns}
         plan = with_fields(plan, F.when(changes, F.col(params)), fields)
@@ -103,13 +109,15 @@ def sync_cycle(
     root: str,
     columns: list[str],
     as_of: Column,
+    buckets: int = 0,
 ) -> str:
     """Bring the listed stage table in line with the jobs stage table.
 
     Does nothing when a sync is flagged as running or there are no jobs. ``as_of``
     is the time before the jobs were read, so that a job edited during the cycle
-    is newer than its stamp and is caught by the next one. Returns ``running``,
-    ``empty`` or ``done``.
+    is newer than its stamp and is caught by the next one. With
+    ``buckets`` both tables are stored by job name, and the next cycle merges them
+    without a shuffle. Returns ``running``, ``empty`` or ``done``.
     """
     jobs = spark.table(jobs_view)
     if sync_flag_count(jobs).first()["is_running"]:
@@ -117,6 +125,7 @@ def sync_cycle(
     if is_empty(jobs).first()["is_empty"]:
         return "empty"
     listed = spark.table(listed_view)
-    refresh_stage(apply_changes(jobs, listed, columns), listed_view, f"{root}/listed")
-    refresh_stage(mark_synced(jobs, as_of), jobs_view, f"{root}/jobs")
+    after = apply_changes(jobs, listed, columns)
+    refresh_stage(after, listed_view, f"{root}/listed", buckets, schemas.JOB_KEY)
+    refresh_stage(mark_synced(jobs, as_of), jobs_view, f"{root}/jobs", buckets, schemas.JOB_KEY)
     return "done"

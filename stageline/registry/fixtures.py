@@ -18,6 +18,8 @@ STATES = {
 }
 NO_RUN_ID = ["O4", "P1"]
 
+EVENT_TYPES = ["click", "view", "purchase", "signup", "error"]
+
 # Table that a message of an event type names.
 TABLE_OF_EVENT = {
     "click": "customer",

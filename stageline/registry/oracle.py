@@ -261,6 +261,7 @@ ORACLE: dict[str, str] = {
         from inst i left join runs r on i.job_run_id = r.job_run_id""",
     "merge_indicator": _with(_JOBS, _LISTED, _PLAN) + "select job_name, is_active, merge_side from merged",
     "sync_plan": _with(_JOBS, _LISTED, _PLAN) + "select job_name, action from plan",
+    "sync_plan_bucketed": _with(_JOBS, _LISTED, _PLAN) + "select job_name, action from plan",
     "sync_plan_counts": _with(_JOBS, _LISTED, _PLAN)
     + "select action, count(*) as n from plan group by action",
     "apply_changes": _with(_JOBS, _LISTED, _PLAN) + _APPLIED,

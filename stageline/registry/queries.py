@@ -369,6 +369,19 @@ def sync_plan_counts(spark, sf_dir):
     return sync_plan(spark, sf_dir).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def sync_plan_bucketed(spark, sf_dir):
+    """The plan over tables stored by job name: the merge does not shuffle."""
+    folder = shared_folder(spark, "sync_plan_bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sides = {"jobs": fx.jobs(spark, sf_dir), "listed": fx.listed(spark, sf_dir)}
+    jobs, listed = (
+        stage.refresh_stage(df, _view(folder, name), f"{folder}/{name}", buckets, schemas.JOB_KEY)
+        for name, df in sides.items()
+    )
+    return sync.plan_changes(jobs, listed.select("job_name")).select("job_name", "action")
+
+
 APPLIED = ["job_description", "glue_version", "python_version", "max_retries", "timeout_minutes"]
 
 
@@ -560,7 +573,7 @@ def stream_loads(spark, sf_dir):
     tables.write_table(source, f"{folder}/source", partition_by=["table_name"])
     inbox = _message_folder(fx.messages(spark, sf_dir), folder)
     loads.run_partition_loads(
-        read_messages(spark, inbox), f"{folder}/source", f"{folder}/stage", folder
+        read_messages(spark, inbox), fx.EVENT_TYPES, f"{folder}/source", f"{folder}/stage", folder
     ).awaitTermination()
     staged = spark.read.parquet(f"{folder}/stage").groupBy("table_name")
     rows = staged.agg(F.count(F.lit(1)).alias("n_rows"))

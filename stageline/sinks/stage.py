@@ -9,9 +9,11 @@ before the second refresh after it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stageline.sinks.tables import write_table
+from stageline.sinks.tables import write_buckets, write_table
 
 _SLOT = "stageline.slot"
 
@@ -23,15 +25,24 @@ def live_slot(spark: SparkSession, view: str) -> str | None:
     return spark.sql(f"show tblproperties {view} ('{_SLOT}')").first()["value"]
 
 
-def refresh_stage(df: DataFrame, view: str, root: str) -> DataFrame:
-    """Replace all rows of the stage table by ``df``; returns the table."""
+def refresh_stage(
+    df: DataFrame, view: str, root: str, buckets: int = 0, key: Sequence[str] = ()
+) -> DataFrame:
+    """Replace all rows of the stage table by ``df``; returns the table.
+
+    With ``buckets`` the rows are stored by their ``key``, see ``write_buckets``.
+    """
     spark = df.sparkSession
     slot = "b" if live_slot(spark, view) == "a" else "a"
     path = f"{root}/{slot}"
-    write_table(df, path)
+    if buckets:
+        rows = f"{view}_{slot}"
+        write_buckets(df, rows, path, buckets, key)
+    else:
+        rows = f"parquet.`{path}`"
+        write_table(df, path)
     spark.sql(
-        f"create or replace view {view} tblproperties ('{_SLOT}' = '{slot}') "
-        f"as select * from parquet.`{path}`"
+        f"create or replace view {view} tblproperties ('{_SLOT}' = '{slot}') as select * from {rows}"
     )
     return spark.table(view)
 

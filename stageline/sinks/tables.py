@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -43,6 +43,27 @@ def overwrite_partitions(df: DataFrame, path: str, by: Iterable[str]) -> None:
     )
 
 
+def write_buckets(
+    df: DataFrame, table: str, path: str, buckets: int, key: Sequence[str]
+) -> None:
+    """Replace the table, stored by the hash of ``key``, one sorted file per bucket.
+
+    Joins of tables with the same buckets on this key read them in place, without
+    a shuffle. For keys that hold each value once, such as job names: all rows of
+    one value go to one file.
+    """
+    (
+        df.repartition(buckets, *key)
+        .write.format("parquet")
+        .option("compression", "snappy")
+        .option("path", path)
+        .bucketBy(buckets, *key)
+        .sortBy(*key)
+        .mode("overwrite")
+        .saveAsTable(table)
+    )
+
+
 def convert_table(
     spark: SparkSession, source: str, target: str, fmt: str = "parquet", schema=None, **options
 ) -> None:

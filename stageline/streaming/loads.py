@@ -6,7 +6,7 @@ that a later micro-batch or a report can read it, and a repeated one replaces it
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from stageline.operators.end_mark import before_end_mark, end_marks, not_expired
 from stageline.operators.updates import stamp_details
 from stageline.sinks.stage import refresh_stage
 from stageline.sinks.tables import in_flight, overwrite_partitions
+from stageline.sources.files import read_partitions
 from stageline.streaming.messages import drain, read_batches, write_batch
 
 BATCH = schemas.INSTANCE_KEY
@@ -64,6 +65,14 @@ def not_expired_so_far(
     return not_expired(messages, F.lit(newest).cast("timestamp_ntz"), seconds)
 
 
+def _known_names(named: DataFrame, tables: Iterable[str]) -> list[str]:
+    """The tables to load: at most as many as there are in ``tables``."""
+    known = F.col("table_name").isin(list(tables))
+    if not named.where(~known).isEmpty():
+        raise ValueError("a message names a table that has no source")
+    return [r["table_name"] for r in named.where(known).select("table_name").distinct().collect()]
+
+
 def _take(messages, batch_id, root, mark, seconds) -> DataFrame:
     """Note in the load log what the micro-batch names, and read it back."""
     spark = messages.sparkSession
@@ -85,6 +94,7 @@ def run_table_loads(
     as_of: Column | None = None,
     mark: str | None = schemas.END_MARK,
     seconds: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Refresh the stage table of every table that is named, then stamp its details.
 
@@ -98,44 +108,45 @@ def run_table_loads(
     def handle(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
         named = _take(messages, batch_id, root, mark, seconds)
-        known = F.col("table_name").isin(list(sources))
-        if not named.where(~known).isEmpty():
-            raise ValueError("a message names a table that has no source")
-        tables = [r["table_name"] for r in named.where(known).select("table_name").distinct().collect()]
 
         def load(table):
             return lambda: refresh_stage(
                 spark.read.parquet(sources[table]), stage_view.format(table), f"{root}/{table}"
             )
 
-        in_flight([load(t) for t in tables], spark)
+        in_flight([load(t) for t in _known_names(named, sources)], spark)
         if details_view:
             stamped = stamp_details(spark.table(details_view), named, as_of)
             refresh_stage(stamped, details_view, f"{root}/details")
 
-    return drain(stream, handle, f"{root}/checkpoint")
+    return drain(stream, handle, f"{root}/checkpoint", every=every)
 
 
 def run_partition_loads(
     stream: DataFrame,
+    tables: Iterable[str],
     source: str,
     stage: str,
     root: str,
     mark: str | None = schemas.END_MARK,
     seconds: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Like ``run_table_loads`` for tables of one schema kept in one dataset.
+    """Like ``run_table_loads`` for ``tables`` of one schema kept in one dataset.
 
     Source and stage are partitioned by ``table_name``; a micro-batch is one job
-    that reads the named partitions and replaces them in the stage.
+    that reads only the named partitions and replaces them in the stage.
     """
+    tables = list(tables)
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        named = _take(messages, batch_id, root, mark, seconds).select("table_name").distinct()
-        rows = messages.sparkSession.read.parquet(source).join(named, "table_name", "left_semi")
-        overwrite_partitions(rows, stage, ["table_name"])
+        names = _known_names(_take(messages, batch_id, root, mark, seconds), tables)
+        if names:
+            named = F.col("table_name").isin(names)
+            rows = read_partitions(messages.sparkSession, source, named)
+            overwrite_partitions(rows, stage, ["table_name"])
 
-    return drain(stream, handle, f"{root}/checkpoint")
+    return drain(stream, handle, f"{root}/checkpoint", every=every)
 
 
 def load_report(spark: SparkSession, root: str) -> DataFrame:
@@ -167,18 +178,21 @@ def batch_report(spark: SparkSession, root: str, expected: DataFrame | None = No
 
 
 def run_until_end_mark(
-    stream: DataFrame, root: str, mark: str = schemas.END_MARK
+    stream: DataFrame, root: str, mark: str = schemas.END_MARK, every: str | None = None
 ) -> StreamingQuery:
     """Take the messages of each batch up to its end mark, for ``batch_report``."""
 
     def handle(messages: DataFrame, batch_id: int) -> None:
         _take(messages, batch_id, root, mark, None)
 
-    return drain(stream, handle, f"{root}/checkpoint")
+    return drain(stream, handle, f"{root}/checkpoint", every=every)
 
 
 def run_retention(
-    stream: DataFrame, root: str, seconds: int = schemas.RETENTION_SECONDS
+    stream: DataFrame,
+    root: str,
+    seconds: int = schemas.RETENTION_SECONDS,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep the messages that had not expired when their micro-batch was taken."""
 
@@ -186,4 +200,4 @@ def run_retention(
         live = not_expired_so_far(messages, batch_id, root, seconds)
         write_batch(live, f"{root}/kept", batch_id)
 
-    return drain(stream, handle, f"{root}/checkpoint")
+    return drain(stream, handle, f"{root}/checkpoint", every=every)

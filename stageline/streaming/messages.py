@@ -23,9 +23,13 @@ def read_messages(
     folder: str,
     schema: str = MESSAGE_SCHEMA,
     files_per_trigger: int | None = None,
+    **options,
 ) -> DataFrame:
-    """The message folder as a stream; at most so many files per micro-batch."""
-    reader = spark.readStream.schema(schema)
+    """The message folder as a stream; at most so many files per micro-batch.
+
+    ``cleanSource="delete"`` removes the files of handled messages.
+    """
+    reader = spark.readStream.schema(schema).options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder)
@@ -36,18 +40,21 @@ def drain(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     output_mode: str = "append",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Handle all messages that are there, micro-batch by micro-batch, and stop.
 
+    With ``every`` (such as ``"15 seconds"``) go on with those that come later.
     A micro-batch is committed to the checkpoint after ``handle`` returns, which
     acknowledges its messages: a restart repeats at most the last batch, with the
     same number, and reads nothing that was done.
     """
+    when = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.foreachBatch(handle)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**when)
         .start()
     )
 

@@ -16,7 +16,9 @@ def latest_state(states: DataFrame, key: str, seq: str = "seq", state: str = "st
     )
 
 
-def run_state_log(stream: DataFrame, key: str, root: str, **columns) -> StreamingQuery:
+def run_state_log(
+    stream: DataFrame, key: str, root: str, every: str | None = None, **columns
+) -> StreamingQuery:
     """Keep the last state per key as stream state, and log the keys that changed.
 
     States are combined per task before the shuffle, so a run that reports much
@@ -26,7 +28,8 @@ def run_state_log(stream: DataFrame, key: str, root: str, **columns) -> Streamin
     def handle(changed: DataFrame, batch_id: int) -> None:
         write_batch(changed, f"{root}/changes", batch_id)
 
-    return drain(latest_state(stream, key, **columns), handle, f"{root}/checkpoint", "update")
+    states = latest_state(stream, key, **columns)
+    return drain(states, handle, f"{root}/checkpoint", "update", every)
 
 
 def read_state_log(spark: SparkSession, root: str, key: str, key_type: str = "string") -> DataFrame:

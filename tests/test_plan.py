@@ -156,3 +156,10 @@ def test_cycle_twice(spark, sf_dir, shared):
     assert sync_cycle(spark, jobs_view, listed_view, shared, columns, stamp) == "running"
     refresh_stage(spark.table(jobs_view).where("false"), jobs_view, f"{shared}/jobs")
     assert sync_cycle(spark, jobs_view, listed_view, shared, columns, stamp) == "empty"
+
+
+def test_repeated_listing_gives_one_action(spark):
+    wanted = wanted_frame(spark, [("a", "N", "2024-01-02", None)])
+    listed = names(spark, ["a"] * 1000 + ["z"])
+    plan = plan_changes(wanted, listed)
+    assert sorted(r["action"] for r in plan.collect()) == ["delete", "none"]

@@ -161,7 +161,7 @@ def test_partition_loads(spark, shared):
 
     def run():
         loads.run_partition_loads(
-            read_messages(spark, f"{shared}/inbox"), f"{shared}/src", f"{shared}/stage", shared
+            read_messages(spark, f"{shared}/inbox"), "tuv", f"{shared}/src", f"{shared}/stage", shared
         ).awaitTermination()
 
     def staged():
@@ -172,6 +172,10 @@ def test_partition_loads(spark, shared):
     run()
     assert staged() == {"t": 10, "u": 10}
     source(60)
+    # partitions that are not named are not read
+    spark.createDataFrame([("not parquet",)], "value string").write.mode("append").text(
+        f"{shared}/src/table_name=v"
+    )
     send(spark, f"{shared}/inbox", ["u"], 3)
     run()
     assert staged() == {"t": 10, "u": 20}

@@ -158,6 +158,24 @@ def test_failed_refresh_leaves_the_table(spark, shared):
     assert refresh_stage(spark.range(4), view, shared).count() == 4
 
 
+def test_bucketed_stage_joins_without_shuffle(spark, sf_dir, shared):
+    from stageline.plans.sync import plan_changes
+
+    tag = shared.rsplit("-", 1)[-1]
+    views = {"jobs": fx.jobs(spark, sf_dir), "listed": fx.listed(spark, sf_dir).select("job_name")}
+    plain = plan_changes(*views.values()).select("job_name", "action")
+    for _ in range(3):
+        stored = [
+            refresh_stage(df, f"{name}_{tag}", f"{shared}/{name}", 4, ["job_name"])
+            for name, df in views.items()
+        ]
+    bucketed = plan_changes(*stored).select("job_name", "action")
+    assert "Exchange" not in plan_text(bucketed)
+    assert "Exchange" in plan_text(plain)
+    assert rows(bucketed) == rows(plain)
+    assert len(files_in(spark, f"{shared}/jobs/a", "*.parquet")) == 4
+
+
 def test_truncate_keeps_columns(spark, sf_dir, shared):
     view = f"stage_{shared.rsplit('-', 1)[-1]}"
     supplier = fx.table(spark, sf_dir, "supplier")
