@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stageline import schemas
-
-SALTS = 32
+from stageline.operators.skew import salted_lookup
 
 
 def end_marks(
@@ -22,21 +21,16 @@ def before_end_mark(
     marks: DataFrame,
     keep_open: bool = False,
     batch: list[str] = schemas.INSTANCE_KEY,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Messages ahead of the end mark of their batch.
 
     Batches without a mark are dropped, or kept whole with ``keep_open``.
 
-    One batch may hold much of all messages, and ``marks`` is an aggregate, which
-    AQE does not split against. So a batch is spread by its sequence numbers over
-    ``salts`` keys, and its single mark row is repeated for each.
+    One batch may hold much of all messages, and ``marks`` is an aggregate, so the
+    join is salted by the sequence number.
     """
-    salted = messages.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int"))
-    spread = marks.select(
-        *batch, "stop_seq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
-    joined = salted.join(spread, [*batch, "_salt"], "left" if keep_open else "inner")
+    how = "left" if keep_open else "inner"
+    joined = salted_lookup(messages, marks.select(*batch, "stop_seq"), batch, "seq", how)
     ahead = F.col("seq") < F.col("stop_seq")
     if keep_open:
         ahead = F.col("stop_seq").isNull() | ahead

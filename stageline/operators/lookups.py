@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stageline import schemas
+from stageline.operators.skew import salted_lookup
 
 
 def active_tables(
@@ -24,15 +25,31 @@ def active_tables(
 
 
 def active_table_counts(details: DataFrame, on: list[str] = schemas.INSTANCE_KEY) -> DataFrame:
-    """How many active tables each instance has.
-
-    The names stay rows (``active_tables``): an instance may own much of the
-    table, and its list must not have to fit into one value.
-    """
+    """How many active tables each instance has."""
     active = details.where(F.col("is_active") == schemas.YES)
     return active.groupBy(*on).agg(F.count(F.lit(1)).alias("n_tables"))
 
 
+def active_table_lists(
+    details: DataFrame, on: list[str] = schemas.INSTANCE_KEY, size: int = 1000
+) -> DataFrame:
+    """The active tables of each instance as piped lists, all of them.
+
+    One list per instance, or, as one value must not have to hold much of the
+    whole table, several of about ``size`` names: ``chunk`` 0, 1, ... by the hash
+    of the name. Names are in order within a list.
+    """
+    counts = active_table_counts(details, on)
+    chunks = counts.select(*on, F.ceil(F.col("n_tables") / size).alias("_chunks"))
+    names = salted_lookup(active_tables(details, on=on), chunks, on, "table_name")
+    chunk = F.pmod(F.xxhash64("table_name"), F.col("_chunks"))
+    return (
+        names.groupBy(*on, chunk.alias("chunk"))
+        .agg(F.sort_array(F.collect_list("table_name")).alias("names"))
+        .select(*on, "chunk", F.size("names").alias("n_tables"), F.array_join("names", "|").alias("tables"))
+    )
+
+
 def run_lookup(
     instances: DataFrame, keys: DataFrame, on: list[str] = schemas.INSTANCE_KEY
 ) -> DataFrame:

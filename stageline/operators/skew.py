@@ -1,0 +1,29 @@
+"""A join that stands a hot key where AQE cannot split it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 32
+
+
+def salted_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    spread_by: str,
+    how: str = "inner",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join many ``rows`` with a ``lookup`` that holds each key once.
+
+    AQE splits a hot key only when both exchanges are directly under the join,
+    which is not so when ``lookup`` is an aggregate on the key. Here the rows of a
+    key are spread over ``salts`` keys by the hash of ``spread_by``, a column that
+    differs among them, and the one lookup row is repeated for each salt. The salt
+    is a hash, so that a repeated task gives the same rows.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

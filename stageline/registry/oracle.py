@@ -228,6 +228,10 @@ ORACLE: dict[str, str] = {
           (select job_instance from inst where status not in ('STARTING', 'RUNNING', 'STOPPING'))""",
     "active_table_counts": _with(_DET) + """
         select job_instance, count(*) as n_tables from det where is_active = 'Y' group by job_instance""",
+    "active_table_lists": _with(_DET) + """
+        select job_instance, cast(0 as bigint) as chunk, cast(count(*) as integer) as n_tables,
+          string_agg(table_name, '|' order by table_name) as tables
+        from det where is_active = 'Y' group by job_instance""",
     "run_lookup": _with(_INST) + """
         select job_name, job_instance, job_run_id, status from inst
         where job_instance in (select l_orderkey from lineitem where l_returnflag = 'R')""",

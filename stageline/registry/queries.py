@@ -265,6 +265,11 @@ def active_table_counts(spark, sf_dir):
     return lookups.active_table_counts(fx.details(spark, sf_dir), INSTANCE)
 
 
+@query
+def active_table_lists(spark, sf_dir):
+    return lookups.active_table_lists(fx.details(spark, sf_dir), INSTANCE)
+
+
 @query
 def run_lookup(spark, sf_dir):
     """Run id and state of the instances that have a returned line."""

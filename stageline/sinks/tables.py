@@ -30,7 +30,11 @@ def write_table(
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Iterable[str]) -> None:
-    """Replace only the partitions that occur in ``df``; the others stay."""
+    """Replace only the partitions that occur in ``df``; the others stay.
+
+    ``df`` holds all rows of its partitions, so the bounds of an increment that is
+    loaded this way lie between partitions.
+    """
     by = list(by)
     (
         df.hint("rebalance", *by)

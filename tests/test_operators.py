@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stageline import schemas
 from stageline.operators import checks, end_mark, lookups, membership, updates
+from stageline.operators.skew import SALTS
 from stageline.plans.runs import decide_runs, tables_to_load
 
 KEY = schemas.INSTANCE_KEY
@@ -263,9 +264,21 @@ def test_hot_batch_is_spread_over_salts(spark, small_skew):
     others = messages.where(f"job_name not in ('hot', '{marked}')").count()
     assert opened.count() == taken.count() + others
     # no salt holds much more than its share of the hot batch
-    salt = F.pmod(F.xxhash64("seq"), F.lit(end_mark.SALTS))
+    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS))
     sizes = [r["count"] for r in messages.where("job_name = 'hot'").groupBy(salt).count().collect()]
-    assert len(sizes) == end_mark.SALTS and max(sizes) < 2 * HOT / end_mark.SALTS
+    assert len(sizes) == SALTS and max(sizes) < 2 * HOT / SALTS
+
+
+def test_hot_list_comes_in_chunks(spark, small_skew):
+    hot = hot_instances(spark)
+    lists = lookups.active_table_lists(hot, ["job_name"]).cache()
+    assert lists.where("job_name <> 'hot' and chunk > 0").isEmpty()
+    chunks = [r["n_tables"] for r in lists.where("job_name = 'hot'").collect()]
+    assert len(chunks) == HOT // 1000 and max(chunks) < 1300
+    names = lists.select("job_name", F.explode(F.split("tables", "[|]")).alias("table_name"))
+    assert names.exceptAll(hot.select("job_name", "table_name")).isEmpty()
+    assert names.count() == hot.count()
+    lists.unpersist()
 
 
 def test_retention_pushes_its_cut_off(spark, sf_dir):
