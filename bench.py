@@ -17,7 +17,7 @@ from stageline.registry.queries import QUERIES
 from stageline.session import build_session
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-ENOUGH_SECONDS = 2.0  # no further run of a query that was timed for this long
+ENOUGH_SECONDS = 1.0  # no further run of a query that was timed for this long
 
 
 def run(name: str, spark, sf_dir: str) -> float:

@@ -653,6 +653,6 @@ def stream_latest_status(spark, sf_dir):
     folder = shared_folder(spark, "stream_latest_status")
     inbox = _message_folder(fx.messages(spark, sf_dir), folder)
     run_states.run_state_log(
-        read_messages(spark, inbox), "job_name", folder, state="body"
+        read_messages(spark, inbox), folder, ["job_name"], state="body"
     ).awaitTermination()
-    return run_states.read_state_log(spark, folder, "job_name")
+    return run_states.read_state_log(spark, folder, "job_name string")

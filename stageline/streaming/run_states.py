@@ -6,18 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stageline import schemas
 from stageline.streaming.messages import drain, read_batches, write_batch
 
+KEY_TYPES = "job_name string, job_instance int"
 
-def latest_state(states: DataFrame, key: str, seq: str = "seq", state: str = "status") -> DataFrame:
+
+def latest_state(
+    states: DataFrame,
+    on: list[str] = schemas.INSTANCE_KEY,
+    seq: str = "seq",
+    state: str = "status",
+) -> DataFrame:
     """The last state of each key by sequence number; on frames and on streams."""
-    return states.groupBy(key).agg(
+    return states.groupBy(*on).agg(
         F.max_by(state, seq).alias("last_status"), F.max(seq).alias("last_seq")
     )
 
 
 def run_state_log(
-    stream: DataFrame, key: str, root: str, every: str | None = None, **columns
+    stream: DataFrame,
+    root: str,
+    on: list[str] = schemas.INSTANCE_KEY,
+    state: str = "status",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep the last state per key as stream state, and log the keys that changed.
 
@@ -28,12 +40,12 @@ def run_state_log(
     def handle(changed: DataFrame, batch_id: int) -> None:
         write_batch(changed, f"{root}/changes", batch_id)
 
-    states = latest_state(stream, key, **columns)
+    states = latest_state(stream, on, state=state)
     return drain(states, handle, f"{root}/checkpoint", "update", every)
 
 
-def read_state_log(spark: SparkSession, root: str, key: str, key_type: str = "string") -> DataFrame:
-    """The last state per key from the log, ready for ``update_instances``."""
-    schema = f"{key} {key_type}, last_status string, last_seq bigint"
-    log = read_batches(spark, f"{root}/changes", schema)
-    return latest_state(log, key, "last_seq", "last_status")
+def read_state_log(spark: SparkSession, root: str, key_types: str = KEY_TYPES) -> DataFrame:
+    """The last state per key from the log, ready for ``mark_ended``."""
+    log = read_batches(spark, f"{root}/changes", f"{key_types}, last_status string, last_seq bigint")
+    on = [c for c in log.columns if c not in ("last_status", "last_seq", "batch_id")]
+    return latest_state(log, on, "last_seq", "last_status")

@@ -100,10 +100,10 @@ def test_convert_run_and_load(spark, sf_dir, shared):
     ).withColumn("sent", sent)
     states.write.parquet(f"{shared}/states")
     run_states.run_state_log(
-        read_messages(spark, f"{shared}/states"), "job_name", f"{shared}/log", state="body"
+        read_messages(spark, f"{shared}/states"), f"{shared}/log", state="body"
     ).awaitTermination()
-    latest = run_states.read_state_log(spark, f"{shared}/log", "job_name")
-    reports = started.select(*schemas.INSTANCE_KEY, "job_run_id").join(latest, "job_name")
+    latest = run_states.read_state_log(spark, f"{shared}/log")
+    reports = started.select(*schemas.INSTANCE_KEY, "job_run_id").join(latest, schemas.INSTANCE_KEY)
     reports = reports.withColumnRenamed("last_status", "status")
     ended = updates.mark_ended(spark.table(f"instances_{tag}"), reports)
     assert {r["job_name"]: (r["job_run_id"], r["status"]) for r in ended.collect()} == {

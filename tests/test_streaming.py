@@ -187,7 +187,7 @@ def test_latest_state(spark, shared):
 
     def run():
         run_states.run_state_log(
-            read_messages(spark, inbox, files_per_trigger=1), "job_name", root, state="body"
+            read_messages(spark, inbox, files_per_trigger=1), root, ["job_name"], "body"
         ).awaitTermination()
 
     send(spark, inbox, ["UNKNOWN", "RUNNING"], 1, job="a")
@@ -196,7 +196,7 @@ def test_latest_state(spark, shared):
     send(spark, inbox, ["SUCCEEDED"], 5, job="a")
     send(spark, inbox, ["UNKNOWN"], 0, job="a")
     run()
-    latest = run_states.read_state_log(spark, root, "job_name")
+    latest = run_states.read_state_log(spark, root, "job_name string")
     assert rows(latest) == [("a", "SUCCEEDED", 5), ("b", "UNKNOWN", 3)]
 
     instances = spark.createDataFrame(
