@@ -338,11 +338,9 @@ def run_request_tables(spark, sf_dir):
 @query
 def run_starts_stored(spark, sf_dir):
     """Instances after the accepted requests were started."""
-    started = (
-        _decided(spark, sf_dir)
-        .where(F.col("decision") == "start")
-        .select("job_instance", F.concat(F.lit("new_"), F.col("job_instance").cast("string")).alias("job_run_id"))
-    )
+    run_id = F.concat(F.lit("new_"), F.col("job_instance").cast("string"))
+    decided = _decided(spark, sf_dir).where(F.col("decision") == "start")
+    started = decided.select("job_instance", run_id.alias("job_run_id"))
     return updates.mark_started(fx.instances(spark, sf_dir), started, INSTANCE)
 
 

@@ -67,7 +67,7 @@ def not_expired_so_far(
 
 def _known_names(named: DataFrame, tables: Iterable[str]) -> list[str]:
     """The tables to load: at most as many as there are in ``tables``."""
-    known = F.col("table_name").isin(list(tables))
+    known = F.col("table_name").isin(list(tables)).eqNullSafe(True)
     if not named.where(~known).isEmpty():
         raise ValueError("a message names a table that has no source")
     return [r["table_name"] for r in named.where(known).select("table_name").distinct().collect()]

@@ -143,7 +143,9 @@ def test_latest_update_wins(spark, instances):
 
 
 def test_flags(spark):
-    jobs = spark.createDataFrame([("a", "N", None)], "job_name string, is_run_sync string, last_sync_timestamp timestamp")
+    jobs = spark.createDataFrame(
+        [("a", "N", None)], "job_name string, is_run_sync string, last_sync_timestamp timestamp"
+    )
     flagged = updates.set_sync_flag(jobs, "Y")
     assert tuple(membership.sync_flag_count(flagged).first()) == (1, True)
     assert tuple(membership.sync_flag_count(updates.mark_synced(flagged)).first()) == (0, False)
@@ -164,8 +166,9 @@ def test_checks(spark):
 
 
 def test_batch_completeness(spark):
-    expected = spark.createDataFrame([("a", 1, 2), ("b", 1, 1), ("c", 1, 1)], "job_name string, job_instance int, expected bigint")
-    got = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 1)], "job_name string, job_instance int")
+    batch = "job_name string, job_instance int"
+    expected = spark.createDataFrame([("a", 1, 2), ("b", 1, 1), ("c", 1, 1)], f"{batch}, expected bigint")
+    got = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 1)], batch)
     assert rows(membership.batch_completeness(got, expected)) == [
         ("a", 1, 2, 2, True),
         ("b", 1, 1, 2, False),
