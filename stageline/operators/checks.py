@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stageline import schemas
@@ -30,30 +30,49 @@ def orphans(child: DataFrame, parent: DataFrame, on: list[str]) -> DataFrame:
     return checked.join(parent.select(*on).distinct(), on, "left_anti")
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _has_null(columns: list[str]) -> Column:
+    return _any([F.col(c).isNull() for c in columns])
+
+
+def _too_long(limits: Mapping[str, int]) -> Column:
+    return _any([F.length(c) > n for c, n in limits.items()])
+
+
 def null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with a null in any of the columns."""
-    return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
+    return df.where(_has_null(columns))
 
 
 def long_rows(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Rows with a text longer than its limit in any of the columns."""
-    return df.where(reduce(lambda a, b: a | b, [F.length(c) > n for c, n in limits.items()]))
+    return df.where(_too_long(limits))
 
 
 def control_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All rules of the control tables: ``table_name``, ``rule``, ``n`` broken keys or rows."""
-    found = {}
+    """All rules of the control tables: ``table_name``, ``rule``, ``n`` broken keys or rows.
+
+    The row rules of a table are counted in one scan.
+    """
+    reports = []
     for name, df in tables.items():
-        found[name, "primary key"] = duplicate_keys(df, schemas.PRIMARY_KEYS[name])
-        found[name, "not null"] = null_rows(df, schemas.NOT_NULL[name])
-        found[name, "length"] = long_rows(df, schemas.MAX_LENGTHS[name])
+        row_rules = {
+            "not null": F.count_if(_has_null(schemas.NOT_NULL[name])),
+            "length": F.count_if(_too_long(schemas.MAX_LENGTHS[name])),
+        }
+        counts = df.agg(*[n.alias(rule) for rule, n in row_rules.items()])
+        reports.append((name, counts.unpivot([], list(row_rules), "rule", "n")))
+        reports.append((name, _counted("primary key", duplicate_keys(df, schemas.PRIMARY_KEYS[name]))))
     for child, parent, on in schemas.FOREIGN_KEYS:
         if child in tables and parent in tables:
-            found[child, "foreign key"] = orphans(tables[child], tables[parent], on)
-    reports = [
-        rows.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "n"
-        )
-        for (table, rule), rows in found.items()
-    ]
-    return reduce(DataFrame.union, reports)
+            broken = orphans(tables[child], tables[parent], on)
+            reports.append((child, _counted("foreign key", broken)))
+    named = [df.select(F.lit(table).alias("table_name"), "rule", "n") for table, df in reports]
+    return reduce(DataFrame.union, named)
+
+
+def _counted(rule: str, rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), "n")

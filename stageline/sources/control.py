@@ -32,13 +32,9 @@ def create_control_tables(spark: SparkSession, database: str, location: str | No
 
 def append_rows(rows: DataFrame, table: str) -> None:
     """Append by column name; columns not in ``rows`` take the table's defaults."""
-    rows.createOrReplaceTempView("stageline_rows")
     names = ", ".join(rows.columns)
-    spark = rows.sparkSession
-    try:
-        spark.sql(f"insert into {table} ({names}) select {names} from stageline_rows")
-    finally:
-        spark.catalog.dropTempView("stageline_rows")
+    insert = f"insert into {table} ({names}) select {names} from {{rows}}"
+    rows.sparkSession.sql(insert, rows=rows)
 
 
 def scan_control(spark: SparkSession, database: str, table: str) -> DataFrame:
