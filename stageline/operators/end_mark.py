@@ -45,8 +45,8 @@ def not_expired(
 ) -> DataFrame:
     """Messages sent at most ``seconds`` before ``newest``, by default the newest sent.
 
-    The cut-off is one value from a subquery, so the filter on the stored column
-    still reaches the Parquet reader when the query runs.
+    The cut-off is one value from a subquery, computed before the scan, so the
+    filter is one on the stored column and skips row groups like a constant.
     """
     age = F.expr(f"interval {seconds} seconds")
     if newest is None:

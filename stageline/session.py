@@ -21,6 +21,8 @@ def build_session(app_name: str = "stageline", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # the default, INT96, has no statistics, so that no bound on a time skips data
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         # state for millions of keys lives off the heap
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -61,7 +61,9 @@ def increment(df: DataFrame, column: str, since: str = "", until: str = "") -> D
     """Rows of ``[since, until)``; an empty bound is open.
 
     The bounds are cast to the column's own type, so the comparison is made on
-    the stored column and reaches the Parquet reader.
+    the stored column and reaches the Parquet reader. It skips row groups of a
+    ``timestamp`` stored as TIMESTAMP_MICROS; of a ``timestamp_ntz`` Spark skips
+    none, so partition such a table by day and bound the partition as well.
     """
     dtype = df.schema[column].dataType
     if since:

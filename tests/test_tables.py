@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stageline import schemas
+from stageline.operators.end_mark import not_expired
 from stageline.registry import fixtures as fx
 from stageline.session import shared_folder
 from stageline.sinks.stage import live_slot, refresh_stage, truncate_stage
@@ -136,6 +137,30 @@ def test_increment_bounds(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
+def rows_from_scans(plan):
+    """Rows that leave the Parquet scans of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind.startswith("AdaptiveSparkPlan"):
+        return rows_from_scans(plan.executedPlan())
+    if "QueryStage" in kind:
+        return rows_from_scans(plan.plan())
+    if "FileSourceScan" in kind:
+        return [plan.metrics().apply("numOutputRows").value()]
+    children = plan.children()
+    return sum((rows_from_scans(children.apply(i)) for i in range(children.size())), [])
+
+
+def test_time_bounds_skip_row_groups(spark, sf_dir, shared):
+    events = fx.messages(spark, sf_dir).withColumn("sent", F.col("sent").cast("timestamp"))
+    small = {"parquet.block.size": 2048, "parquet.page.size.row.check.min": 10}
+    events.orderBy("sent").coalesce(1).write.options(**small).parquet(shared)
+    stored = spark.read.parquet(shared)
+    for kept in (increment(stored, "sent", "2024-01-29"), not_expired(stored)):
+        n = len(kept.collect())
+        (scanned,) = rows_from_scans(kept._jdf.queryExecution().executedPlan())
+        assert 0 < n <= scanned < stored.count() / 2
+
+
 def test_stage_refresh(spark, shared):
     view = f"stage_{shared.rsplit('-', 1)[-1]}"
     assert live_slot(spark, view) is None
