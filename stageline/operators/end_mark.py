@@ -39,18 +39,17 @@ def before_end_mark(
 
 def not_expired(
     messages: DataFrame,
-    newest: Column | None = None,
+    seen: DataFrame | None = None,
     seconds: int = schemas.RETENTION_SECONDS,
     sent: str = "sent",
 ) -> DataFrame:
-    """Messages sent at most ``seconds`` before ``newest``, by default the newest sent.
+    """Messages sent at most ``seconds`` before the newest in ``seen``, by default
+    the newest of themselves.
 
     The cut-off is one value from a subquery, computed before the scan, so the
     filter is one on the stored column and skips row groups like a constant.
     """
     age = F.expr(f"interval {seconds} seconds")
-    if newest is None:
-        cutoff = messages.agg((F.max(sent) - age).alias("cutoff")).scalar()
-    else:
-        cutoff = newest - age
+    clock = messages if seen is None else seen
+    cutoff = clock.agg((F.max(sent) - age).alias("cutoff")).scalar()
     return messages.where(F.col(sent) >= cutoff)

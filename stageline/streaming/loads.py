@@ -24,7 +24,6 @@ from stageline.streaming.messages import drain, read_batches, write_batch
 BATCH = schemas.INSTANCE_KEY
 LOADS = "job_name string, job_instance int, table_name string, n_messages bigint, last_seq bigint"
 MARKS = "job_name string, job_instance int, stop_seq bigint"
-NEWEST = "newest timestamp_ntz"
 
 
 def named_tables(messages: DataFrame) -> DataFrame:
@@ -59,10 +58,9 @@ def not_expired_so_far(
     """Messages of a micro-batch that are not older than ``seconds`` against the
     newest message seen in this or an earlier one."""
     spark = messages.sparkSession
-    write_batch(messages.agg(F.max("sent").alias("newest")), f"{root}/newest", batch_id)
-    seen = read_batches(spark, f"{root}/newest", NEWEST).where(F.col("batch_id") <= batch_id)
-    newest = seen.agg(F.max("newest").alias("newest")).first()["newest"]
-    return not_expired(messages, F.lit(newest).cast("timestamp_ntz"), seconds)
+    write_batch(messages.agg(F.max("sent").alias("sent")), f"{root}/newest", batch_id)
+    seen = spark.read.parquet(f"{root}/newest").where(F.col("batch_id") <= batch_id)
+    return not_expired(messages, seen, seconds)
 
 
 def _known_names(named: DataFrame, tables: Iterable[str]) -> list[str]:

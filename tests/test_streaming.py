@@ -154,6 +154,20 @@ def test_retention_edge(spark):
     assert not_expired(later).count() == 3
 
 
+def test_retention_in_another_zone(spark, shared):
+    """The clock of a stream does not pass through the session's time zone."""
+    send(spark, f"{shared}/inbox", ["t"], 1, hours=12)
+    send(spark, f"{shared}/inbox", ["u", "v"], 0, hours=0)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        inbox = read_messages(spark, f"{shared}/inbox")
+        loads.run_retention(inbox, shared).awaitTermination()
+        kept = spark.read.parquet(f"{shared}/kept").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {r["body"] for r in kept} == {"t", "v"}
+
+
 def test_partition_loads(spark, shared):
     def source(n):
         name = F.substring(F.lit("tuv"), (F.col("id") % 3 + 1).cast("int"), F.lit(1))
