@@ -77,7 +77,9 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 def _groups(maybe: DataFrame) -> DataFrame:
     """Per text: the row that stays and the count of rows."""
     best = F.min(F.struct((-F.col("__points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id"))
-    return maybe.groupBy("__sha").agg(best["doc_id"].alias("keep_id"), F.count("*").alias("group_size"))
+    groups = maybe.groupBy("__sha").agg(best["doc_id"].alias("keep_id"), F.count("*").alias("group_size"))
+    # stored, so that a join has plain exchanges on both sides, which Spark can split for a hot text
+    return written(groups, "groups")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
