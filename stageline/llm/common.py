@@ -57,7 +57,7 @@ def slices(
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the offsets of its rows; null is empty."""
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

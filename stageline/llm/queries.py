@@ -10,6 +10,7 @@ from stageline.llm.decontaminate import contamination
 from stageline.llm.exact_dedup import exact_dedup
 from stageline.llm.packing import pack_documents
 from stageline.llm.quality import quality_scores
+from stageline.llm.suffix_dedup import suffix_dedup
 from stageline.llm.token_counts import token_counts
 
 
@@ -17,6 +18,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
@@ -39,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_quality, op6_token_counts, op8_decontamination, op10_packing)
+    f.__name__: f for f in (op1_suffix_dedup, op2_exact_dedup, op3_quality, op6_token_counts, op8_decontamination, op10_packing)
 }
 
 ORACLE: dict[str, str] = {
