@@ -159,3 +159,20 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true flags."""
     edges = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """Adds the arrays ``values`` of equal ``row``: within each task, then in two levels."""
+
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row, values in zip(batch.column("row").to_pylist(), batch.column("values"), strict=True):
+                held[row] = held.get(row, 0) + values.values.to_numpy(False)
+        if held:
+            values = pa.array([v.tolist() for v in held.values()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), values], names=["row", "values"])
+
+    schema = "row int, values array<double>"
+    some = parts.mapInArrow(add, schema).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16)))
+    return some.repartition("row", "part").drop("part").mapInArrow(add, schema).repartition("row").mapInArrow(add, schema)

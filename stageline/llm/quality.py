@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stageline.llm.common import slices, space_words, text_bytes, text_rows, words, written
+from stageline.llm.common import slices, space_words, summed, text_bytes, text_rows, words, written
 
 #: random directions, width of the kernel in standard deviations, ridge, score bins
 FEATURES, WIDTH, RIDGE, BINS, SEED = 192, 4.0, 1.0, 2000, 20240
@@ -159,21 +159,6 @@ def _stats_matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1)
 
 
-def _summed(parts: DataFrame) -> DataFrame:
-    """Adds the rows of equal ``row`` by value; each task adds its own before the shuffle."""
-
-    def add(batches):
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row, values in zip(batch.column("row").to_pylist(), batch.column("values").to_pylist(), strict=True):
-                held[row] = held.get(row, 0) + np.array(values)
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tolist() for v in held.values()], pa.list_(pa.float64()))], names=["row", "values"])
-
-    schema = "row int, values array<double>"
-    return parts.mapInArrow(add, schema).repartition("row").mapInArrow(add, schema)
-
-
 def fit(stats: DataFrame, labels: DataFrame, held_out: Column, features: int = FEATURES, width: float = WIDTH, ridge: float = RIDGE) -> Model:
     """Learns from every labelled document that is not held out, each one once.
 
@@ -197,7 +182,7 @@ def fit(stats: DataFrame, labels: DataFrame, held_out: Column, features: int = F
                 yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["row", "values"])
 
     schema = "row int, values array<double>"
-    sums = {r["row"]: np.array(r["values"]) for r in _summed(train.mapInArrow(moments, schema)).collect()}  # 3 rows
+    sums = {r["row"]: np.array(r["values"]) for r in summed(train.mapInArrow(moments, schema)).collect()}  # 3 rows
     if not sums:
         return Model(np.zeros(k), np.ones(k), directions, phases, np.zeros(1 + k + features), np.array([0.0]), np.array([0.5]))
     centre = sums[1] / sums[0]
@@ -215,7 +200,7 @@ def fit(stats: DataFrame, labels: DataFrame, held_out: Column, features: int = F
         if not np.isscalar(total):
             yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["row", "values"])
 
-    rows = sorted(_summed(train.mapInArrow(equations, schema)).collect())  # one per feature
+    rows = sorted(summed(train.mapInArrow(equations, schema)).collect())  # one per feature
     normal = np.array([r["values"] for r in rows])
     penalty = np.eye(len(normal)) * ridge
     penalty[0, 0] = 1e-9
@@ -231,7 +216,7 @@ def fit(stats: DataFrame, labels: DataFrame, held_out: Column, features: int = F
                     total[j] += np.bincount(at, w, BINS)
         yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["row", "values"])
 
-    count, ones, raw = (np.array(r["values"]) for r in sorted(_summed(train.mapInArrow(bins, schema)).collect()))
+    count, ones, raw = (np.array(r["values"]) for r in sorted(summed(train.mapInArrow(bins, schema)).collect()))
     used = count > 0
     model.edges = raw[used] / count[used]
     model.levels = pool_adjacent(ones[used] / count[used], count[used])

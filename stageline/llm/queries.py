@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stageline.llm.decontaminate import contamination
 from stageline.llm.exact_dedup import exact_dedup
+from stageline.llm.ngram_join import jaccard_classes
 from stageline.llm.packing import pack_documents
 from stageline.llm.quality import quality_scores
 from stageline.llm.suffix_dedup import suffix_dedup
@@ -31,6 +32,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(_read(spark, sf_dir, "documents")).drop("set_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_exact_dedup, op3_quality, op6_token_counts, op8_decontamination, op10_packing)
+    f.__name__: f for f in (op1_suffix_dedup, op2_exact_dedup, op3_quality, op4_ngram_join, op6_token_counts, op8_decontamination, op10_packing)
 }
 
 ORACLE: dict[str, str] = {
