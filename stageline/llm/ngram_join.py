@@ -41,6 +41,8 @@ CELLS, EXPENSIVE = 4, 4
 LAST_ID = (1 << 63) - 1
 #: rows of one signature that are compared at a time
 COMPARE = 512
+#: rounds in which each component is verified against its nearest only, before all others
+NEAREST_ROUNDS = 3
 
 
 @dataclass
@@ -225,7 +227,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tool = zstandard.ZstdCompressor(level=6)
+    tool = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         z = pa.array([tool.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("th"), z], names=["doc", "th", "z"])
@@ -266,33 +268,54 @@ def _fold(bits: np.ndarray, to: int) -> np.ndarray:
     return bits
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one signature that lie in different components and that size and parity
-    bits do not rule out. Rows come sorted by signature, then by size of the set."""
-
-    def pairs(part: pa.Table):
-        node, n, comp = (part.column(c).to_numpy() for c in ("node", "n", "comp"))
-        raw = part.column("bits").to_pylist()
-        width = np.array([len(x) for x in raw])
-        for w in np.unique(width).tolist():  # a set meets those with as many bits, and with more
-            left = np.flatnonzero(width == w)
-            right = np.flatnonzero(width >= w)
-            stack = np.vstack([_fold(np.frombuffer(raw[i], np.uint8)[None, :], w) for i in right])
-            mine = np.vstack([np.frombuffer(raw[i], np.uint8) for i in left])
-            for at in range(0, len(left), COMPARE):
-                a = left[at : at + COMPARE]
-                for to in range(0, len(right), COMPARE):
-                    b = right[to : to + COMPARE]
-                    small, large = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
-                    ok = (comp[a][:, None] != comp[b]) & (100 * small >= PERCENT * large) & ((a[:, None] < b) | (width[b] > w))
-                    i, j = np.nonzero(ok)
-                    for lo in range(0, len(i), 1 << 16):
-                        p, q = i[lo : lo + (1 << 16)], j[lo : lo + (1 << 16)]
-                        differ = np.bitwise_count(mine[at + p] ^ stack[to + q]).sum(1, dtype=np.int64)
-                        near = differ <= (n[a[p]] + n[b[q]]) * (100 - PERCENT) // (100 + PERCENT)
-                        if near.any():
-                            x, y = node[a[p[near]]], node[b[q[near]]]
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+def _near_pairs(part: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of one signature that lie in different components and that neither size nor
+    parity bits rule out: both places, and the share of shingles that must differ."""
+    n, comp = (part.column(c).to_numpy() for c in ("n", "comp"))
+    raw = part.column("bits").to_pylist()
+    width = np.array([len(x) for x in raw])
+    for w in np.unique(width).tolist():  # a set meets those with as many bits, and with more
+        left = np.flatnonzero(width == w)
+        right = np.flatnonzero(width >= w)
+        stack = np.vstack([_fold(np.frombuffer(raw[i], np.uint8)[None, :], w) for i in right])
+        mine = np.vstack([np.frombuffer(raw[i], np.uint8) for i in left])
+        for at in range(0, len(left), COMPARE):
+            a = left[at : at + COMPARE]
+            for to in range(0, len(right), COMPARE):
+                b = right[to : to + COMPARE]
+                small, large = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
+                ok = (comp[a][:, None] != comp[b]) & (100 * small >= PERCENT * large) & ((a[:, None] < b) | (width[b] > w))
+                i, j = np.nonzero(ok)
+                for lo in range(0, len(i), 1 << 16):
+                    p, q = i[lo : lo + (1 << 16)], j[lo : lo + (1 << 16)]
+                    differ = np.bitwise_count(mine[at + p] ^ stack[to + q]).sum(1, dtype=np.int64)
+                    total = n[a[p]] + n[b[q]]
+                    near = differ <= total * (100 - PERCENT) // (100 + PERCENT)
+                    yield a[p[near]], b[q[near]], differ[near] / total[near]
+
+
+def _nearest(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of a signature, the nearest of each component."""
+    comp = part.column("comp").to_numpy()
+    best = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]  # component, both places, distance
+    for a, b, far in _near_pairs(part):
+        sides = (np.concatenate((comp[a], comp[b])), np.tile(a, 2), np.tile(b, 2), np.tile(far, 2))
+        best = [np.concatenate(x) for x in zip(best, sides, strict=True)]
+        order = np.lexsort((best[3], best[0]))
+        first = order[np.append(True, np.diff(best[0][order]) != 0)[: len(order)]]
+        best = [x[first] for x in best]
+    return best[1], best[2]
+
+
+def _compared(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs to verify, from rows sorted by signature."""
+
+    def pairs(parts):
+        part = pa.Table.from_batches(parts)
+        node = part.column("node").to_numpy()
+        for a, b in [_nearest(part)] if nearest else (x[:2] for x in _near_pairs(part)):
+            x, y = node[a], node[b]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -304,11 +327,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cut in np.flatnonzero(np.append(sig[0] != last, sig[1:] != sig[:-1])).tolist():
             parts = [*held, batch.slice(begin, cut - begin)] if cut > begin else held
             if parts:
-                yield from pairs(pa.Table.from_batches(parts))
+                yield from pairs(parts)
             held, begin = [], cut
         held.append(batch.slice(begin))
     if held:
-        yield from pairs(pa.Table.from_batches(held))
+        yield from pairs(held)
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
@@ -318,6 +341,21 @@ def _verified(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
     return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges")
 
 
+def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs to verify: of different components, with a signature in common."""
+    own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp"))
+    own = written(own, "open")
+    groups = own.groupBy("sig").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("y"),
+    )
+    # signatures with the same members are compared once
+    open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
+    rest = own.join(written(open_, "open-signatures"), "sig", "left_semi").join(bits, "node")
+    dealt = rest.repartition("sig").sortWithinPartitions("sig", "n", "node")
+    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long").distinct()
+
+
 def bands_of(rows: DataFrame, top: int, shingle: int) -> dict[int, Band]:
     """The allocation of each size band, from counts over all documents. A band in which
     some set fills too few segments for the pigeonhole gets more of them."""
@@ -355,7 +393,8 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     found = rows.select("text").mapInArrow(lambda b: _signatures(b, shingle, bands), "sig long, node long, n long")
     of = Window.partitionBy("sig")
     shared = found.withColumn("hub", F.min(F.struct("node", "n")).over(of)).withColumn("top", F.max("node").over(of))
-    shared = written(shared.where("hub.node <> top").select("sig", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "shared")
+    shared = shared.where("hub.node <> top").select("sig", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    shared = written(shared.distinct(), "shared")
 
     # the texts of those sets, one each
     need = sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "th")).alias("at"))
@@ -371,22 +410,22 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     edges = _verified(first, bodies, shingle)
     joined = written(components(edges), "components")
 
-    # then, for signatures that still span components, all sets that may yet link
-    own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp")).distinct()
-    own = written(own, "open")
-    groups = own.groupBy("sig").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("y"),
-    )
-    # signatures with the same members are compared once
-    open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    open_ = written(open_, "open-signatures")
-    bits = bodies.mapInArrow(lambda b: _sketches(b, shingle), "node long, bits binary")
-    rest = own.join(open_, "sig", "left_semi").join(bits, "node")
-    pairs = rest.repartition("sig").sortWithinPartitions("sig", "n", "node").mapInArrow(_compared, "a long, b long").distinct()
-    pairs = written(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    edges = edges.unionByName(_verified(pairs, bodies, shingle))
-    joined = written(components(edges), "components")
+    # then, in signatures that still span components, each component against its nearest
+    bits = written(bodies.mapInArrow(lambda b: _sketches(b, shingle), "node long, bits binary"), "sketches")
+    tried = first
+    for _ in range(NEAREST_ROUNDS):
+        pairs = written(_open_pairs(shared, joined, bits, True).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = _verified(pairs, bodies, shingle)
+        if more.isEmpty():
+            break
+        tried, edges = tried.unionByName(pairs), edges.unionByName(more)
+        joined = written(components(edges), "components")
+    # and last all sets that may yet link, so that nothing is missed
+    pairs = written(_open_pairs(shared, joined, bits, False).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = _verified(pairs, bodies, shingle)
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        joined = written(components(edges), "components")
 
     links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     classes = sets.select("id", "node", "n").join(joined, "node", "left").join(links, "node", "left")
