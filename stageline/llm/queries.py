@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stageline.llm.decontaminate import contamination
 from stageline.llm.exact_dedup import exact_dedup
+from stageline.llm.licenses import license_spans
 from stageline.llm.ngram_join import jaccard_classes
 from stageline.llm.packing import pack_documents
+from stageline.llm.pages import main_text
+from stageline.llm.pii import personal_data
 from stageline.llm.quality import quality_scores
 from stageline.llm.suffix_dedup import suffix_dedup
 from stageline.llm.token_counts import token_counts
@@ -36,21 +39,37 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_read(spark, sf_dir, "documents")).drop("set_id")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_spans(_read(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_read(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_read(spark, sf_dir, "documents")).drop("found")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_exact_dedup, op3_quality, op4_ngram_join, op6_token_counts, op8_decontamination, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_exact_dedup, op3_quality, op4_ngram_join, op5_license_scan,
+        op6_token_counts, op7_main_text, op8_decontamination, op9_personal_data, op10_packing,
+    )
 }
 
 ORACLE: dict[str, str] = {
