@@ -41,8 +41,10 @@ CELLS, EXPENSIVE = 4, 4
 LAST_ID = (1 << 63) - 1
 #: rows of one signature that are compared at a time
 COMPARE = 512
-#: rounds in which each component is verified against its nearest only, before all others
+#: rounds in which a signature with many pairs gives the nearest only, before all others
 NEAREST_ROUNDS = 3
+#: pairs per set of a signature beyond which the nearest come first
+MANY = 4
 
 
 @dataclass
@@ -308,14 +310,32 @@ def _nearest(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compared(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs to verify, from rows sorted by signature."""
+    """Pairs to verify, from rows sorted by signature: all of them; or, if ``nearest`` and a
+    signature has more than MANY pairs per set, the nearest of each component, and the
+    signature itself as ``open``, to be compared again when those are joined."""
+
+    def rows(part, a, b):
+        node = part.column("node").to_numpy()
+        x, y = node[a], node[b]
+        nothing = pa.nulls(len(x), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), nothing], names=["a", "b", "open"])
 
     def pairs(parts):
         part = pa.Table.from_batches(parts)
-        node = part.column("node").to_numpy()
-        for a, b in [_nearest(part)] if nearest else (x[:2] for x in _near_pairs(part)):
-            x, y = node[a], node[b]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        held, count = [], 0
+        for a, b, _ in _near_pairs(part):
+            held.append((a, b))
+            count += len(a)
+            if nearest and count > MANY * len(part):
+                yield rows(part, *_nearest(part))
+                nothing = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([nothing, nothing, part.column("sig").combine_chunks()[:1]], names=["a", "b", "open"])
+                return
+            if not nearest and count > 100_000:
+                yield from (rows(part, *x) for x in held)
+                held, count = [], 0
+        if count:
+            yield rows(part, *(np.concatenate(x) for x in zip(*held, strict=True)))
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -342,7 +362,8 @@ def _verified(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
 
 
 def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs to verify: of different components, with a signature in common."""
+    """Pairs to verify (``a, b``), of different components and with a signature in common,
+    and signatures to compare again (``open``)."""
     own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp"))
     own = written(own, "open")
     groups = own.groupBy("sig").agg(
@@ -353,7 +374,7 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest:
     open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
     rest = own.join(written(open_, "open-signatures"), "sig", "left_semi").join(bits, "node")
     dealt = rest.repartition("sig").sortWithinPartitions("sig", "n", "node")
-    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long").distinct()
+    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long")
 
 
 def bands_of(rows: DataFrame, top: int, shingle: int) -> dict[int, Band]:
@@ -410,22 +431,21 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     edges = _verified(first, bodies, shingle)
     joined = written(components(edges), "components")
 
-    # then, in signatures that still span components, each component against its nearest
+    # then, in signatures that still span components, all sets that may yet link; where
+    # these are very many, the nearest of each component first
     bits = written(bodies.mapInArrow(lambda b: _sketches(b, shingle), "node long, bits binary"), "sketches")
-    tried = first
-    for _ in range(NEAREST_ROUNDS):
-        pairs = written(_open_pairs(shared, joined, bits, True).join(tried, ["a", "b"], "left_anti"), "pairs")
+    tried, left = first, shared
+    for i in range(NEAREST_ROUNDS + 1):
+        found = written(_open_pairs(left, joined, bits, i < NEAREST_ROUNDS), "compared")
+        pairs = written(found.where("open is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more = _verified(pairs, bodies, shingle)
-        if more.isEmpty():
+        if not more.isEmpty():
+            tried, edges = tried.unionByName(pairs), edges.unionByName(more)
+            joined = written(components(edges), "components")
+        again = written(found.where("open is not null").select(F.col("open").alias("sig")), "again")
+        if again.isEmpty():
             break
-        tried, edges = tried.unionByName(pairs), edges.unionByName(more)
-        joined = written(components(edges), "components")
-    # and last all sets that may yet link, so that nothing is missed
-    pairs = written(_open_pairs(shared, joined, bits, False).join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(pairs, bodies, shingle)
-    if not more.isEmpty():
-        edges = edges.unionByName(more)
-        joined = written(components(edges), "components")
+        left = shared.join(again, "sig", "left_semi")
 
     links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     classes = sets.select("id", "node", "n").join(joined, "node", "left").join(links, "node", "left")

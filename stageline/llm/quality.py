@@ -175,11 +175,15 @@ def fit(stats: DataFrame, labels: DataFrame, held_out: Column, features: int = F
     directions, phases = rng.standard_normal((k, features)) / width, rng.uniform(0, 2 * np.pi, features)
 
     def moments(batches):
+        total = None
         for batch in batches:
             x = _stats_matrix(batch.column("stats"))
             if len(x):
-                rows = [[float(len(x))], x.sum(0).tolist(), (x**2).sum(0).tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["row", "values"])
+                own = (np.array([float(len(x))]), x.sum(0), (x**2).sum(0))
+                total = own if total is None else tuple(a + b for a, b in zip(total, own, strict=True))
+        if total:
+            rows = [v.tolist() for v in total]
+            yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["row", "values"])
 
     schema = "row int, values array<double>"
     sums = {r["row"]: np.array(r["values"]) for r in summed(train.mapInArrow(moments, schema)).collect()}  # 3 rows

@@ -73,6 +73,12 @@ def test_against_brute_force(spark, seed):
     assert 20 < len({c for _, c in want.values()}) < len(texts) - 30
 
 
+def test_nearest_rounds_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MANY", 0)
+    texts = near_texts(11, 25)
+    assert result(jaccard_classes(frame(spark, texts))) == brute(enumerate(texts))
+
+
 def test_common_passage_and_neighbours(spark, monkeypatch):
     """Expensive segments are put last and deletions make up for them: nothing is lost."""
     real = allocate
