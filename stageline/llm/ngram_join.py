@@ -42,7 +42,7 @@ LAST_ID = (1 << 63) - 1
 #: rows of one signature that are compared at a time
 COMPARE = 512
 #: rounds in which a signature with many pairs gives the nearest only, before all others
-NEAREST_ROUNDS = 3
+NEAREST_ROUNDS = 2
 #: pairs per set of a signature beyond which the nearest come first
 MANY = 4
 
@@ -361,9 +361,9 @@ def _verified(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
     return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges")
 
 
-def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
+def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs to verify (``a, b``), of different components and with a signature in common,
-    and signatures to compare again (``open``)."""
+    and signatures to compare again (``open``); then the rows of the signatures compared."""
     own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp"))
     own = written(own, "open")
     groups = own.groupBy("sig").agg(
@@ -372,9 +372,9 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest:
     )
     # signatures with the same members are compared once
     open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    rest = own.join(written(open_, "open-signatures"), "sig", "left_semi").join(bits, "node")
-    dealt = rest.repartition("sig").sortWithinPartitions("sig", "n", "node")
-    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long")
+    rest = written(own.join(written(open_, "open-signatures"), "sig", "left_semi"), "open")
+    dealt = rest.join(bits, "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
+    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long"), rest.drop("comp")
 
 
 def bands_of(rows: DataFrame, top: int, shingle: int) -> dict[int, Band]:
@@ -436,7 +436,8 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     bits = written(bodies.mapInArrow(lambda b: _sketches(b, shingle), "node long, bits binary"), "sketches")
     tried, left = first, shared
     for i in range(NEAREST_ROUNDS + 1):
-        found = written(_open_pairs(left, joined, bits, i < NEAREST_ROUNDS), "compared")
+        found, left = _open_pairs(left, joined, bits, i < NEAREST_ROUNDS)
+        found = written(found, "compared")
         pairs = written(found.where("open is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more = _verified(pairs, bodies, shingle)
         if not more.isEmpty():
@@ -445,7 +446,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
         again = written(found.where("open is not null").select(F.col("open").alias("sig")), "again")
         if again.isEmpty():
             break
-        left = shared.join(again, "sig", "left_semi")
+        left = left.join(again, "sig", "left_semi")
 
     links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     classes = sets.select("id", "node", "n").join(joined, "node", "left").join(links, "node", "left")
