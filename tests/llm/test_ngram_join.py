@@ -64,7 +64,7 @@ def result(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_against_brute_force(spark, seed):
     texts = edge_texts(seed) + near_texts(seed)
     want = brute(enumerate(texts))
