@@ -1,4 +1,4 @@
-"""Seconds per registered query: one warm-up, median of up to three runs, noop write.
+"""Seconds per registered query: one warm-up, median of three runs, noop write.
 
 Reads ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line. Names as
 arguments run only those queries.
@@ -17,7 +17,6 @@ from stageline.registry.queries import QUERIES
 from stageline.session import build_session
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-ENOUGH_SECONDS = 1.0  # no further run of a query that was timed for this long
 
 
 def run(name: str, spark, sf_dir: str) -> float:
@@ -42,9 +41,7 @@ def main() -> None:
     seconds = {}
     for name in sys.argv[1:] or QUERIES:
         run(name, spark, sf_dir)
-        times = []
-        while len(times) < RUNS and sum(times) < ENOUGH_SECONDS:
-            times.append(run(name, spark, sf_dir))
+        times = [run(name, spark, sf_dir) for _ in range(RUNS)]
         seconds[name] = round(statistics.median(times), 3)
     report = {
         "metric": "total seconds, sum of per-query medians",
