@@ -10,30 +10,70 @@ from pyspark.sql import functions as F
 from stageline import schemas
 
 
-def with_fields(df: DataFrame, document: Column, types: Mapping[str, str]) -> DataFrame:
+def _parsed(document: Column, types: Mapping[str, str]) -> Column:
+    """The JSON text as a struct of its fields, and the text itself where it is no object."""
+    fields = ", ".join(f"{n} {'string' if t == 'string' else 'variant'}" for n, t in types.items())
+    return F.from_json(document, f"{fields}, _no_json string", {"columnNameOfCorruptRecord": "_no_json"})
+
+
+def _typed(name: str, dtype: str) -> Column:
+    field = F.col("_parsed")[name]
+    return field if dtype == "string" else F.try_variant_get(field, "$", dtype)
+
+
+def _given(name: str, dtype: str) -> Column:
+    return _typed(name, "string") if dtype == "string" else F.try_variant_get(F.col("_parsed")[name], "$", "string")
+
+
+def with_fields(
+    df: DataFrame, document: Column, types: Mapping[str, str], defaults: Mapping[str, object] | None = None
+) -> DataFrame:
     """Add fields of a JSON text by name, each cast to its type; a bad value is null.
 
     Numbers pass through a variant, so that ``3.7`` and ``"3"`` become 3 while the
-    text ``"3.7"`` is not an integer. The parsed text is a column of its own
-    projection: written into each field, it would be parsed once per field.
+    text ``"3.7"`` is not an integer. ``defaults`` stand for fields that are absent or
+    null, not for bad values (``bad_fields`` tells those) and not in a text that is no
+    JSON. The parsed text is a column of its own projection: written into each field,
+    it would be parsed once per field.
     """
-    schema = ", ".join(f"{n} {'string' if t == 'string' else 'variant'}" for n, t in types.items())
-    parsed = F.col("_parsed")
-    return (
-        df.withColumn("_parsed", F.from_json(document, schema))
-        .withColumns(
-            {
-                name: parsed[name] if dtype == "string" else F.try_variant_get(parsed[name], "$", dtype)
-                for name, dtype in types.items()
-            }
-        )
-        .drop("_parsed")
-    )
+    defaults = defaults or {}
+    fields = {}
+    for name, dtype in types.items():
+        fields[name] = _typed(name, dtype)
+        if name in defaults:
+            absent = _given(name, dtype).isNull() & F.col("_parsed")["_no_json"].isNull()
+            fields[name] = F.when(absent, F.lit(defaults[name])).otherwise(fields[name])
+    return df.withColumn("_parsed", _parsed(document, types)).withColumns(fields).drop("_parsed")
+
+
+def bad_fields(
+    df: DataFrame, key: list[str], document: str, types: Mapping[str, str] = schemas.PARAM_TYPES
+) -> DataFrame:
+    """Fields that are given but cannot be cast: the key, ``field`` and its ``text``.
+
+    An absent or null field is not bad. A text that is no JSON object is one row with
+    a null field. The texts are parsed once.
+    """
+    parsed = df.select(*key, _parsed(F.col(document), types).alias("_parsed"))
+    no_json = F.col("_parsed")["_no_json"]
+
+    def report(field: Column, text: Column) -> Column:
+        return F.struct(field.cast("string").alias("field"), text.alias("text"))
 
+    bad = [
+        F.when(_given(name, dtype).isNotNull() & _typed(name, dtype).isNull(), report(F.lit(name), _given(name, dtype)))
+        for name, dtype in types.items()
+    ]
+    bad.append(F.when(no_json.isNotNull(), report(F.lit(None), no_json)))
+    found = F.filter(F.array(*bad), lambda x: x.isNotNull())
+    return parsed.select(*key, F.explode(found).alias("_bad")).select(*key, "_bad.field", "_bad.text")
 
-def with_params(jobs: DataFrame, column: str = "job_param") -> DataFrame:
+
+def with_params(
+    jobs: DataFrame, column: str = "job_param", defaults: Mapping[str, object] | None = None
+) -> DataFrame:
     """Replace the JSON column by its seven typed fields."""
-    return with_fields(jobs, F.col(column), schemas.PARAM_TYPES).drop(column)
+    return with_fields(jobs, F.col(column), schemas.PARAM_TYPES, defaults).drop(column)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -53,7 +93,12 @@ def run_arguments(
     incr_to: Column | None = None,
     context: Column | None = None,
 ) -> Column:
-    """The string map handed to a run; absent bounds and context are empty."""
+    """The string map handed to a run; absent bounds and context are empty.
+
+    Without a table list its key is left out: the run loads all active tables of its
+    instance, which ``plans.runs.tables_to_load`` gives as rows. An empty text would
+    name one empty table.
+    """
     given = {
         "job_instance": job_instance,
         "tables": tables,
@@ -64,9 +109,9 @@ def run_arguments(
     entries = []
     for key, name in schemas.RUN_ARGUMENT_KEYS.items():
         value = given[name]
-        value = F.lit("") if value is None else F.coalesce(value.cast("string"), F.lit(""))
-        entries += [F.lit(key), value]
-    return F.create_map(*entries)
+        value = F.lit("") if value is None else value.cast("string")
+        entries += [F.lit(key), value if name == "tables" else F.coalesce(value, F.lit(""))]
+    return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
 
 
 def max_capacity(max_dpu: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stageline import schemas
-from stageline.operators.skew import salted_lookup
 
 
 def end_marks(
@@ -26,11 +25,12 @@ def before_end_mark(
 
     Batches without a mark are dropped, or kept whole with ``keep_open``.
 
-    One batch may hold much of all messages, and ``marks`` is an aggregate, so the
-    join is salted by the sequence number.
+    ``marks`` holds each batch once. One batch may hold much of all messages: give the
+    marks as a stored table, so that both exchanges are directly under the join and
+    AQE splits the batch by its measured size. Under an aggregate it cannot.
     """
     how = "left" if keep_open else "inner"
-    joined = salted_lookup(messages, marks.select(*batch, "stop_seq"), batch, "seq", how)
+    joined = messages.join(marks.select(*batch, "stop_seq"), batch, how)
     ahead = F.col("seq") < F.col("stop_seq")
     if keep_open:
         ahead = F.col("stop_seq").isNull() | ahead

@@ -9,11 +9,10 @@ existence is reduced to its keys before the shuffle instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stageline import schemas
-from stageline.operators.skew import salted_lookup
 
 
 def active_tables(
@@ -30,26 +29,6 @@ def active_table_counts(details: DataFrame, on: list[str] = schemas.INSTANCE_KEY
     return active.groupBy(*on).agg(F.count(F.lit(1)).alias("n_tables"))
 
 
-def active_table_lists(
-    details: DataFrame, on: list[str] = schemas.INSTANCE_KEY, size: int = 1000
-) -> DataFrame:
-    """The active tables of each instance as piped lists, all of them.
-
-    One list per instance, or, as one value must not have to hold much of the
-    whole table, several of about ``size`` names: ``chunk`` 0, 1, ... by the hash
-    of the name. Names are in order within a list.
-    """
-    counts = active_table_counts(details, on)
-    chunks = counts.select(*on, F.ceil(F.col("n_tables") / size).alias("_chunks"))
-    names = salted_lookup(active_tables(details, on=on), chunks, on, "table_name")
-    chunk = F.pmod(F.xxhash64("table_name"), F.col("_chunks"))
-    return (
-        names.groupBy(*on, chunk.alias("chunk"))
-        .agg(F.sort_array(F.collect_list("table_name")).alias("names"))
-        .select(*on, "chunk", F.size("names").alias("n_tables"), F.array_join("names", "|").alias("tables"))
-    )
-
-
 def run_lookup(
     instances: DataFrame, keys: DataFrame, on: list[str] = schemas.INSTANCE_KEY
 ) -> DataFrame:
@@ -59,19 +38,26 @@ def run_lookup(
     )
 
 
+def maybe_running() -> Column:
+    """Whether the stored state leaves it open that the run is still going."""
+    return F.col("status").isin([*schemas.STATES_RUNNING, schemas.STATE_UNKNOWN])
+
+
+def running_runs(runs: DataFrame) -> DataFrame:
+    """Runs that are going by their true state."""
+    return runs.where(F.col("actual_status").isin(schemas.STATES_RUNNING)).select(
+        "job_run_id", "actual_status"
+    )
+
+
 def overlap_gate(instances: DataFrame, runs: DataFrame) -> DataFrame:
     """Instances whose last run is still going, so that no new run may start.
 
     The true state is asked only where the stored one is not final; rows without
     a run id never match.
     """
-    maybe_running = instances.where(
-        F.col("status").isin([*schemas.STATES_RUNNING, schemas.STATE_UNKNOWN])
-    ).select("job_name", "job_instance", "job_run_id")
-    running = runs.where(F.col("actual_status").isin(schemas.STATES_RUNNING)).select(
-        "job_run_id", "actual_status"
-    )
-    return maybe_running.join(running, "job_run_id").select(
+    open_runs = instances.where(maybe_running()).select("job_name", "job_instance", "job_run_id")
+    return open_runs.join(running_runs(runs), "job_run_id").select(
         "job_name", "job_instance", "job_run_id", "actual_status"
     )
 

@@ -17,8 +17,8 @@ def sync_flag_count(jobs: DataFrame) -> DataFrame:
 
 
 def is_empty(df: DataFrame) -> DataFrame:
-    """One row, ``is_empty``."""
-    return df.agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+    """One row, ``is_empty``. Each task stops at its first row; none is counted further."""
+    return df.select(F.lit(1)).limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
 
 
 def named_table_counts(

@@ -33,14 +33,18 @@ def keyed_update(
 ) -> DataFrame:
     """Set ``columns`` where the key is in ``updates``; no row is added or lost.
 
-    ``updates`` holds each key once, or is reduced to the latest row per key by
-    ``latest_by``. A null in ``updates`` is a value and is set.
+    Updates are reduced to one row per key: the latest by ``latest_by``, the greatest
+    values among equally late ones. Without ``latest_by`` a key may repeat only with
+    equal values; different ones have no order, and the query fails. A null in
+    ``updates`` is a value and is set. Columns keep their types.
     """
-    new = F.struct(*columns)
+    new = F.struct(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in columns])
     if latest_by is None:
-        updates = updates.select(*on, new.alias("_new"))
+        differ = F.raise_error(F.lit("updates of one key differ and have no order"))
+        last = F.when(F.min(new).eqNullSafe(F.max(new)), F.max(new)).otherwise(differ)
     else:
-        updates = updates.groupBy(*on).agg(F.max_by(new, latest_by).alias("_new"))
+        last = F.max_by(new, F.struct(F.col(latest_by).isNotNull(), latest_by, new))
+    updates = updates.groupBy(*on).agg(last.alias("_new"))
     changed = F.col("_new").isNotNull()
     return table.join(updates, on, "left").select(
         *[

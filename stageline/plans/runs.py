@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stageline import schemas
 from stageline.functions.params import max_capacity, run_arguments
 from stageline.functions.text import explode_tables
-from stageline.operators.lookups import active_tables, overlap_gate
+from stageline.operators.lookups import active_tables, maybe_running, running_runs
 from stageline.operators.membership import validate_requested
 
 
@@ -21,31 +21,32 @@ def decide_runs(
 ) -> DataFrame:
     """Each request with its ``decision``, ``arguments`` and ``max_capacity``.
 
-    A request is one row per instance: the key, ``tables`` (a piped list, or null
-    for all active tables), ``max_dpu``, ``incr_from``, ``incr_to``, ``context``.
-    Decisions: ``no_instance``, ``overlap`` (a run is still going), ``bad_tables``
-    (a listed table is not in the details), ``start``.
+    A request is one row per instance: the key, whose last column is the instance,
+    ``tables`` (a piped list, or null for all active tables), ``max_dpu``,
+    ``incr_from``, ``incr_to``, ``context``. Decisions: ``no_instance``, ``overlap``
+    (a run is still going), ``bad_tables`` (a listed table is not in the details),
+    ``start``. Instances and runs hold their keys once.
     """
-    known = instances.select(*on, F.lit(True).alias("_known"))
-    blocked = overlap_gate(instances, runs).select(*on, F.lit(True).alias("_blocked"))
+    known = instances.select(*on, "job_run_id", maybe_running().alias("_maybe"), F.lit(True).alias("_known"))
+    running = running_runs(runs).select("job_run_id", F.lit(True).alias("_running"))
     listed = requests.where(F.col("tables").isNotNull()).select(*on, "tables")
     checked = validate_requested(explode_tables(listed, "tables"), details, on).select(*on, "valid")
     decision = (
         F.when(F.col("_known").isNull(), "no_instance")
-        .when(F.col("_blocked").isNotNull(), "overlap")
+        .when(F.col("_maybe") & F.col("_running"), "overlap")
         .when(~F.col("valid"), "bad_tables")
         .otherwise("start")
     )
     return (
         requests.join(known, on, "left")
-        .join(blocked, on, "left")
         .join(checked, on, "left")
+        .join(running, "job_run_id", "left")
         .select(
             *on,
             "tables",
             decision.alias("decision"),
             run_arguments(
-                F.col("job_instance"),
+                F.col(on[-1]),
                 F.col("tables"),
                 F.col("incr_from"),
                 F.col("incr_to"),

@@ -79,8 +79,11 @@ def apply_changes(
     Created and updated jobs take the wanted values, with the defaults of the
     action for what is not set; the rest keeps the listed values. Wanted values
     are columns or fields of the JSON column ``params``, which is only parsed for
-    the jobs that change.
+    the jobs that change. A name that the listing repeats counts once, as in the
+    plan, with the greatest of its values.
     """
+    others = [c for c in listed.columns if c != key]
+    listed = listed.groupBy(key).agg(F.max(F.struct(*others)).alias("_last")).select(key, "_last.*")
     action = F.col("action")
     changes = action.isin("create", "update")
     stays = (F.col("merge_side") != "left_only") & (action != "delete")

@@ -113,6 +113,10 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             _name("job_", "l_orderkey").alias("job_name"),
             _name("shipped ", "lines").alias("job_description"),
+            _name("s3://old/", "lines").alias("script_location"),
+            F.col("quantity").cast("double").alias("max_capacity"),
+            F.lit("pythonshell").alias("command_name"),
+            F.col("lines").alias("max_concurrent_runs"),
             F.lit("1.0").alias("glue_version"),
             F.col("lines").alias("max_retries"),
             F.col("quantity").cast("int").alias("timeout_minutes"),
@@ -121,6 +125,10 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     others = table(spark, sf_dir, "events").select(
         _name("event_", "event_id").alias("job_name"),
         F.col("event_type").alias("job_description"),
+        F.lit("s3://others").alias("script_location"),
+        F.lit(1.0).alias("max_capacity"),
+        F.lit("glueetl").alias("command_name"),
+        F.lit(1).alias("max_concurrent_runs"),
         F.lit("0.9").alias("glue_version"),
         F.lit(0).alias("max_retries"),
         F.lit(60).alias("timeout_minutes"),
@@ -175,7 +183,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run requests, one per order: its first and last table, or a guess, or none."""
+    """Run requests, one per order: its first and last table, or a guess, or none; and
+    one per customer for an instance that does not exist."""
     parts = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -185,7 +194,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = F.when(F.col("o_orderstatus") == "F", F.concat(first, last)).when(
         F.col("o_orderstatus") == "P", F.concat(first, guess)
     )
-    return (
+    strangers = table(spark, sf_dir, "customer").select(
+        (-1 - F.col("c_custkey")).alias("job_instance"), F.col("c_mktsegment").alias("context")
+    )
+    orders = (
         table(spark, sf_dir, "orders")
         .join(parts, "o_orderkey", "left")
         .select(
@@ -197,6 +209,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderpriority").alias("context"),
         )
     )
+    return orders.unionByName(strangers, allowMissingColumns=True)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,11 +22,15 @@ jobs as (
 _LISTED = """
 listed as (
   select concat('job_', cast(l_orderkey as varchar)) as job_name,
-    concat('shipped ', cast(max(l_linenumber) as varchar)) as job_description, '1.0' as glue_version,
+    concat('shipped ', cast(max(l_linenumber) as varchar)) as job_description,
+    concat('s3://old/', cast(max(l_linenumber) as varchar)) as script_location,
+    cast(max(l_quantity) as double) as max_capacity, 'pythonshell' as command_name,
+    max(l_linenumber) as max_concurrent_runs, '1.0' as glue_version,
     max(l_linenumber) as max_retries, cast(max(l_quantity) as integer) as timeout_minutes
   from lineitem group by l_orderkey
   union all
-  select concat('event_', cast(event_id as varchar)), event_type, '0.9', 0, 60 from events)"""
+  select concat('event_', cast(event_id as varchar)), event_type, 's3://others', 1.0, 'glueetl', 1,
+    '0.9', 0, 60 from events)"""
 
 _OWNERS = """
 owners as (
@@ -79,7 +83,9 @@ _PLAN = """
 merged as (
   select coalesce(w.job_name, l.job_name) as job_name, w.is_active, w.job_description,
     w.modified_timestamp, w.last_sync_timestamp, w.glue_version, w.max_retries, w.timeout_minutes,
-    l.job_description as old_description, l.glue_version as old_version,
+    w.script_location, w.max_capacity, w.command_name, w.max_concurrent_runs,
+    l.script_location as old_script, l.max_capacity as old_capacity, l.command_name as old_command,
+    l.max_concurrent_runs as old_runs, l.job_description as old_description, l.glue_version as old_version,
     l.max_retries as old_retries, l.timeout_minutes as old_timeout,
     case when l.job_name is null then 'left_only' when w.job_name is null then 'right_only'
          else 'both' end as merge_side
@@ -97,6 +103,12 @@ _APPLIED = """
 select job_name,
   case when action in ('create', 'update') then job_description else old_description end
     as job_description,
+  case when action in ('create', 'update') then script_location else old_script end as script_location,
+  case when action in ('create', 'update') then max_capacity else old_capacity end as max_capacity,
+  case when action in ('create', 'update') then coalesce(command_name, 'glueetl') else old_command end
+    as command_name,
+  case action when 'create' then coalesce(max_concurrent_runs, 10)
+    when 'update' then coalesce(max_concurrent_runs, 3) else old_runs end as max_concurrent_runs,
   case action when 'create' then glue_version else old_version end as glue_version,
   case action when 'create' then '3' end as python_version,
   case action when 'create' then coalesce(max_retries, 0)
@@ -120,7 +132,9 @@ requests as (
     case when o_orderpriority = '1-URGENT' then cast(10 as double) end as max_capacity, lo
   from orders left join
     (select l_orderkey, min(l_partkey) as lo, max(l_partkey) as hi from lineitem group by l_orderkey) p
-    on o_orderkey = l_orderkey),
+    on o_orderkey = l_orderkey
+  union all
+  select -1 - c_custkey, c_mktsegment, null, null, null, null, null, null from customer),
 asked as (
   select job_instance, first_table as table_name from requests where tables is not null and lo is not null
   union all
@@ -130,10 +144,11 @@ checked as (
   from asked a left join det d on a.job_instance = d.job_instance and a.table_name = d.table_name
   group by a.job_instance),
 decided as (
-  select q.*, case when g.job_instance is not null then 'overlap'
+  select q.*, case when i.job_instance is null then 'no_instance' when g.job_instance is not null then 'overlap'
     when not c.valid then 'bad_tables' else 'start' end as decision,
     case when lo is not null then tables end as given
-  from requests q left join gate g on q.job_instance = g.job_instance
+  from requests q left join inst i on q.job_instance = i.job_instance
+    left join gate g on q.job_instance = g.job_instance
     left join checked c on q.job_instance = c.job_instance)"""
 
 _MESSAGES = """
@@ -197,8 +212,12 @@ ORACLE: dict[str, str] = {
         select job_name, script_location, glue_version, max_capacity,
           coalesce(command_name, 'glueetl') as command_name,
           coalesce(max_concurrent_runs, 3) as max_concurrent_runs,
-          coalesce(max_retries, 1) as max_retries, coalesce(timeout_minutes, 180) as timeout_minutes
+          case when is_active is not null then coalesce(max_retries, 1) end as max_retries,
+          coalesce(timeout_minutes, 180) as timeout_minutes
         from jobs""",
+    "param_violations": """
+        select concat('job_', cast(o_orderkey as varchar)) as job_name, 'max_retries' as field, '2.5' as text
+        from orders where o_orderstatus not in ('O', 'F')""",
     "param_extract_events": """
         select event_id, cast(json_extract_string(props, '$.k') as integer) as k,
           coalesce(cast(json_extract_string(props, '$.timeout_minutes') as integer), 180)
@@ -213,7 +232,7 @@ ORACLE: dict[str, str] = {
           case when p_size > 40 then p_brand else p_name end, '''') as quoted from part""",
     "run_arguments": """
         select o_orderkey, cast(o_orderkey as varchar) as job_instance,
-          coalesce(concat(o_orderstatus, '|', o_orderpriority), '') as tables, '' as incr_from,
+          o_orderstatus || '|' || o_orderpriority as tables, '' as incr_from,
           case when o_orderstatus = 'O' then cast(10 as double) end as max_capacity
         from orders""",
     "name_templates": """
@@ -228,10 +247,6 @@ ORACLE: dict[str, str] = {
           (select job_instance from inst where status not in ('STARTING', 'RUNNING', 'STOPPING'))""",
     "active_table_counts": _with(_DET) + """
         select job_instance, count(*) as n_tables from det where is_active = 'Y' group by job_instance""",
-    "active_table_lists": _with(_DET) + """
-        select job_instance, cast(0 as bigint) as chunk, cast(count(*) as integer) as n_tables,
-          string_agg(table_name, '|' order by table_name) as tables
-        from det where is_active = 'Y' group by job_instance""",
     "run_lookup": _with(_INST) + """
         select job_name, job_instance, job_run_id, status from inst
         where job_instance in (select l_orderkey from lineitem where l_returnflag = 'R')""",
@@ -244,7 +259,7 @@ ORACLE: dict[str, str] = {
         select job_name from owners where is_active = 'Y'
           and exists (select 1 from inst i where i.job_name = owners.job_name)""",
     "run_requests": _with(_INST, _DET, _RUNS, _GATE, _REQUESTS) + """
-        select job_instance, decision, coalesce(given, '') as tables, incr_from, context, max_capacity
+        select job_instance, decision, given as tables, coalesce(incr_from, '') as incr_from, context, max_capacity
         from decided""",
     "run_request_tables": _with(_INST, _DET, _RUNS, _GATE, _REQUESTS) + """
         select a.job_instance, a.table_name from asked a join decided q on a.job_instance = q.job_instance
@@ -306,7 +321,7 @@ ORACLE: dict[str, str] = {
     "membership_validate": _with(_DET) + """
         select l_orderkey as job_instance, count(*) as requested, count(distinct d.table_name) as matched,
           count(*) = count(distinct d.table_name) as valid
-        from lineitem left join (select * from det where is_active = 'Y') d
+        from lineitem left join det d
           on l_orderkey = d.job_instance and concat('t_', cast(l_partkey as varchar)) = d.table_name
         group by l_orderkey""",
     "membership_validate_lists": f"""
@@ -344,7 +359,22 @@ ORACLE: dict[str, str] = {
         union all select 'job_instances', 'length', count(*) from lineitem where l_returnflag = 'R'
         union all select 'job_instances', 'foreign key', count(*)
           from (select distinct l_orderkey from lineitem
-                where l_orderkey not in (select o_orderkey from orders)) d""",
+                where l_orderkey not in (select o_orderkey from orders)) d
+        union all select 'job_details', 'primary key', count(*)
+          from (select 1 from lineitem
+                group by case when l_linestatus = 'O' then -l_suppkey else l_orderkey end,
+                  case when l_returnflag <> 'A' then l_linenumber end, l_partkey
+                having count(*) > 1) d
+        union all select 'job_details', 'not null', count(*) from lineitem
+          where l_returnflag = 'A' or l_shipdate is null
+        union all select 'job_details', 'length', count(*) from lineitem where l_returnflag = 'R'
+        union all select 'job_details', 'foreign key', count(*)
+          from (select distinct l_linestatus, case when l_linestatus = 'O' then l_suppkey else l_orderkey end,
+                  l_linenumber
+                from lineitem c
+                where l_returnflag <> 'A' and (l_linestatus = 'O' or not exists
+                  (select 1 from lineitem p where p.l_orderkey = c.l_orderkey
+                     and p.l_linenumber = c.l_linenumber and p.l_returnflag <> 'N'))) d""",
     "stream_loads": """
         select event_type as table_name, count(*) as n_messages, max(event_id) as last_seq,
           count(*) as n_rows from events group by event_type""",

@@ -160,13 +160,12 @@ def incremental_window(spark, sf_dir):
 
 @query
 def incremental_load(spark, sf_dir):
-    """Load up to a day, then the rest; the second load replaces only its own years."""
+    """Increments whose bounds cut years, out of order, one of them twice."""
     folder = shared_folder(spark, "incremental_load")
     orders = fx.table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
-    for since, until in [("", "1996-01-01"), ("1996-01-01", "")]:
-        tables.overwrite_partitions(
-            files.increment(orders, "o_orderdate", since, until), folder, ["order_year"]
-        )
+    cuts = ["", "1994-03-01", "1996-07-01", "1997-05-09", ""]
+    for i in (2, 0, 3, 1, 2):
+        tables.load_increment(orders, folder, ["order_year"], "o_orderdate", cuts[i], cuts[i + 1])
     return spark.read.parquet(folder).select("o_orderkey", "o_custkey", "o_totalprice", "order_year")
 
 
@@ -182,16 +181,22 @@ def status_class(spark, sf_dir):
 
 @query
 def param_extract(spark, sf_dir):
-    jobs = params.with_params(fx.job_definitions(spark, sf_dir).select("job_name", "job_param"))
-    return params.with_defaults(jobs, schemas.UPDATE_DEFAULTS)
+    jobs = fx.job_definitions(spark, sf_dir).select("job_name", "job_param")
+    return params.with_params(jobs, defaults=schemas.UPDATE_DEFAULTS)
+
+
+@query
+def param_violations(spark, sf_dir):
+    """Job parameters that are given but cannot be cast."""
+    return params.bad_fields(fx.job_definitions(spark, sf_dir), ["job_name"], "job_param")
 
 
 @query
 def param_extract_events(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events").select("event_id", "props")
-    events = params.with_fields(events, F.col("props"), {"k": "int", "timeout_minutes": "int"})
     defaults = {"timeout_minutes": schemas.CREATE_DEFAULTS["timeout_minutes"]}
-    return params.with_defaults(events, defaults).select("event_id", "k", "timeout_minutes")
+    types = {"k": "int", "timeout_minutes": "int"}
+    return params.with_fields(events, F.col("props"), types, defaults).select("event_id", "k", "timeout_minutes")
 
 
 @query
@@ -265,11 +270,6 @@ def active_table_counts(spark, sf_dir):
     return lookups.active_table_counts(fx.details(spark, sf_dir), INSTANCE)
 
 
-@query
-def active_table_lists(spark, sf_dir):
-    return lookups.active_table_lists(fx.details(spark, sf_dir), INSTANCE)
-
-
 @query
 def run_lookup(spark, sf_dir):
     """Run id and state of the instances that have a returned line."""
@@ -385,7 +385,10 @@ def sync_plan_bucketed(spark, sf_dir):
     return sync.plan_changes(jobs, listed.select("job_name")).select("job_name", "action")
 
 
-APPLIED = ["job_description", "glue_version", "python_version", "max_retries", "timeout_minutes"]
+APPLIED = [
+    "job_description", "script_location", "max_capacity", "command_name", "glue_version",
+    "python_version", "max_concurrent_runs", "max_retries", "timeout_minutes",
+]
 
 
 @query
@@ -485,13 +488,12 @@ def membership_count(spark, sf_dir):
 
 @query
 def membership_validate(spark, sf_dir):
-    """Every line asks for its part; the details know the parts of open lines."""
+    """Every line asks for its part; an order that asks for a part twice is not valid."""
     line = fx.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("job_instance"),
         F.concat(F.lit("t_"), F.col("l_partkey").cast("string")).alias("table_name"),
     )
-    known = fx.details(spark, sf_dir).where(F.col("is_active") == schemas.YES)
-    return membership.validate_requested(line, known, INSTANCE)
+    return membership.validate_requested(line, fx.details(spark, sf_dir), INSTANCE)
 
 
 @query
@@ -540,7 +542,8 @@ def length_violations(spark, sf_dir):
 
 @query
 def control_violations(spark, sf_dir):
-    """All rules at once: jobs are orders, instances are their lines."""
+    """All rules at once: jobs are orders, instances are their lines, details the parts
+    of the lines, those of open lines under the name of the supplier."""
     jobs = fx.jobs(spark, sf_dir).select(
         "job_name",
         "job_description",
@@ -557,7 +560,18 @@ def control_violations(spark, sf_dir):
         F.when(flag != "N", F.col("l_linenumber")).alias("job_instance"),
         F.when(flag == "R", "RETURNED LATE").otherwise("SUCCEEDED").alias("status"),
     )
-    return checks.control_violations({"jobs": jobs, "job_instances": instances})
+    open_line = F.col("l_linestatus") == "O"
+    owner = F.when(open_line, F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string"))).otherwise(
+        F.concat(F.lit("job_"), F.col("l_orderkey").cast("string"))
+    )
+    details = fx.table(spark, sf_dir, "lineitem").select(
+        owner.alias("job_name"),
+        F.when(flag != "A", F.col("l_linenumber")).alias("job_instance"),
+        F.concat(F.lit("t_"), F.col("l_partkey").cast("string")).alias("table_name"),
+        F.col("l_shipdate").alias("created_timestamp"),
+        F.when(flag == "R", "yes").otherwise("Y").alias("is_active"),
+    )
+    return checks.control_violations({"jobs": jobs, "job_instances": instances, "job_details": details})
 
 
 # ------------------------------------------------------------------ streaming
@@ -640,9 +654,12 @@ def stream_until_sentinel(spark, sf_dir):
 
 @query
 def messages_until_sentinel(spark, sf_dir):
-    """The messages themselves, on a frame, per user."""
+    """The messages themselves, on a frame, per user. The marks are stored first, so
+    that AQE can split a hot user in the join."""
     messages, user = fx.messages(spark, sf_dir), ["job_name"]
-    marks = end_mark.end_marks(messages, F.col("body") == "signup", user)
+    folder = shared_folder(spark, "messages_until_sentinel")
+    tables.write_table(end_mark.end_marks(messages, F.col("body") == "signup", user), folder)
+    marks = spark.read.parquet(folder)
     return end_mark.before_end_mark(messages, marks, batch=user).select("seq", "job_name", "body")
 
 

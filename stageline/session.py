@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,16 +41,24 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 * 1024 *
     return max(200, -(-shuffle_bytes // target_bytes))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked of the file system of ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder, seen by all executors, for written steps and checkpoints.
 
-    The cluster names the root in ``spark.checkpoint.dir``. Only a local session
-    may fall back to a folder of this machine.
+    The cluster names the root in ``spark.checkpoint.dir``. Where it is not set, the
+    folder lies in the session's warehouse, which all executors share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="stageline-")
-        spark.sparkContext.setCheckpointDir(root)
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/stageline/{purpose}-{uuid.uuid4().hex}"

@@ -10,7 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stageline.sources.files import read_csv
+from stageline.session import path_exists
+from stageline.sources.files import increment, outside, read_csv
 
 
 def write_table(
@@ -32,8 +33,8 @@ def write_table(
 def overwrite_partitions(df: DataFrame, path: str, by: Iterable[str]) -> None:
     """Replace only the partitions that occur in ``df``; the others stay.
 
-    ``df`` holds all rows of its partitions, so the bounds of an increment that is
-    loaded this way lie between partitions.
+    ``df`` holds all rows of its partitions; ``load_increment`` is for bounds that
+    cut one.
     """
     by = list(by)
     (
@@ -47,6 +48,27 @@ def overwrite_partitions(df: DataFrame, path: str, by: Iterable[str]) -> None:
     )
 
 
+def load_increment(
+    df: DataFrame, path: str, by: Iterable[str], column: str, since: str = "", until: str = ""
+) -> None:
+    """Bring the rows of ``[since, until)`` into the partitioned table at ``path``.
+
+    The bounds may cut partitions: what a touched partition holds outside of them
+    stays, so increments may come in any order and be repeated. The partitions in
+    which ``df`` has rows of the increment are written anew; they are swapped in when
+    all tasks are done, so that a failed load leaves the table as it was.
+    """
+    by = list(by)
+    new = increment(df, column, since, until)
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        held = spark.read.schema(new.schema).parquet(path).select(*new.columns)
+        touched = new.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+        new = new.unionByName(outside(held.join(touched, same, "left_semi"), column, since, until))
+    overwrite_partitions(new, path, by)
+
+
 def write_buckets(
     df: DataFrame, table: str, path: str, buckets: int, key: Sequence[str]
 ) -> None:

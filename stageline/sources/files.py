@@ -65,9 +65,21 @@ def increment(df: DataFrame, column: str, since: str = "", until: str = "") -> D
     ``timestamp`` stored as TIMESTAMP_MICROS; of a ``timestamp_ntz`` Spark skips
     none, so partition such a table by day and bound the partition as well.
     """
-    dtype = df.schema[column].dataType
-    if since:
-        df = df.where(F.col(column) >= F.lit(since).cast(dtype))
-    if until:
-        df = df.where(F.col(column) < F.lit(until).cast(dtype))
+    for bound in _bounds(df, column, since, until):
+        df = df.where(bound)
     return df
+
+
+def outside(df: DataFrame, column: str, since: str = "", until: str = "") -> DataFrame:
+    """The rows that ``increment`` leaves, those without a time among them."""
+    inside = F.lit(True)
+    for bound in _bounds(df, column, since, until):
+        inside = inside & bound
+    return df.where(~F.coalesce(inside, F.lit(False)))
+
+
+def _bounds(df: DataFrame, column: str, since: str, until: str) -> list[Column]:
+    dtype = df.schema[column].dataType
+    lower = [F.col(column) >= F.lit(since).cast(dtype)] if since else []
+    upper = [F.col(column) < F.lit(until).cast(dtype)] if until else []
+    return lower + upper

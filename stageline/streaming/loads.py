@@ -19,7 +19,7 @@ from stageline.operators.updates import stamp_details
 from stageline.sinks.stage import refresh_stage
 from stageline.sinks.tables import in_flight, overwrite_partitions
 from stageline.sources.files import read_partitions
-from stageline.streaming.messages import drain, read_batches, write_batch
+from stageline.streaming.messages import drain, keep_state, read_batches, with_state, write_batch
 
 BATCH = schemas.INSTANCE_KEY
 LOADS = "job_name string, job_instance int, table_name string, n_messages bigint, last_seq bigint"
@@ -47,9 +47,10 @@ def before_known_marks(
     """
     spark = messages.sparkSession
     write_batch(end_marks(messages, strip(F.col("body")) == mark), f"{root}/marks", batch_id)
-    known = read_batches(spark, f"{root}/marks", MARKS).where(F.col("batch_id") <= batch_id)
+    new = spark.read.schema(MARKS).parquet(f"{root}/marks/batch_id={batch_id}")
+    known = with_state(new, f"{root}/known_marks", batch_id, MARKS)
     marks = known.groupBy(*BATCH).agg(F.min("stop_seq").alias("stop_seq"))
-    return before_end_mark(messages, marks, keep_open=True)
+    return before_end_mark(messages, keep_state(marks, f"{root}/known_marks", batch_id, MARKS), keep_open=True)
 
 
 def not_expired_so_far(
@@ -57,18 +58,21 @@ def not_expired_so_far(
 ) -> DataFrame:
     """Messages of a micro-batch that are not older than ``seconds`` against the
     newest message seen in this or an earlier one."""
-    spark = messages.sparkSession
-    write_batch(messages.agg(F.max("sent").alias("sent")), f"{root}/newest", batch_id)
-    seen = spark.read.parquet(f"{root}/newest").where(F.col("batch_id") <= batch_id)
-    return not_expired(messages, seen, seconds)
+    dtype = messages.schema["sent"].dataType.simpleString()
+    sent = with_state(messages.select("sent"), f"{root}/newest", batch_id, f"sent {dtype}")
+    newest = sent.agg(F.max("sent").alias("sent"))
+    return not_expired(messages, keep_state(newest, f"{root}/newest", batch_id, f"sent {dtype}"), seconds)
+
+
+def _known(tables: Iterable[str]) -> Column:
+    return F.col("table_name").isin(list(tables)).eqNullSafe(True)
 
 
-def _known_names(named: DataFrame, tables: Iterable[str]) -> list[str]:
-    """The tables to load: at most as many as there are in ``tables``."""
-    known = F.col("table_name").isin(list(tables)).eqNullSafe(True)
-    if not named.where(~known).isEmpty():
-        raise ValueError("a message names a table that has no source")
-    return [r["table_name"] for r in named.where(known).select("table_name").distinct().collect()]
+def _known_names(named: DataFrame, tables: Iterable[str], root: str, batch_id: int) -> list[str]:
+    """The tables to load: at most as many as there are in ``tables``. Other names are
+    set aside in the folder ``rejected``."""
+    write_batch(named.where(~_known(tables)), f"{root}/rejected", batch_id)
+    return [r["table_name"] for r in named.where(_known(tables)).select("table_name").distinct().collect()]
 
 
 def _take(messages, batch_id, root, mark, seconds) -> DataFrame:
@@ -98,9 +102,9 @@ def run_table_loads(
 
     ``sources`` maps the tables that may be loaded to their Parquet folders;
     ``stage_view`` is the view name with ``{}`` for the table. Messages after the
-    end mark of their batch, or older than ``seconds``, load nothing. A message
-    that names another table stops the stream before anything of its micro-batch
-    is loaded. What reaches the driver is at most one row per entry of ``sources``.
+    end mark of their batch, or older than ``seconds``, load nothing. Names that have
+    no source load nothing either; ``rejected_report`` gives them. What reaches the
+    driver is at most one row per entry of ``sources``.
     """
 
     def handle(messages: DataFrame, batch_id: int) -> None:
@@ -112,9 +116,10 @@ def run_table_loads(
                 spark.read.parquet(sources[table]), stage_view.format(table), f"{root}/{table}"
             )
 
-        in_flight([load(t) for t in _known_names(named, sources)], spark)
+        in_flight([load(t) for t in _known_names(named, sources, root, batch_id)], spark)
         if details_view:
-            stamped = stamp_details(spark.table(details_view), named, as_of)
+            loaded = named.where(_known(sources))
+            stamped = stamp_details(spark.table(details_view), loaded, as_of)
             refresh_stage(stamped, details_view, f"{root}/details")
 
     return drain(stream, handle, f"{root}/checkpoint", every=every)
@@ -138,10 +143,10 @@ def run_partition_loads(
     tables = list(tables)
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        names = _known_names(_take(messages, batch_id, root, mark, seconds), tables)
+        named = _take(messages, batch_id, root, mark, seconds)
+        names = _known_names(named, tables, root, batch_id)
         if names:
-            named = F.col("table_name").isin(names)
-            rows = read_partitions(messages.sparkSession, source, named)
+            rows = read_partitions(messages.sparkSession, source, F.col("table_name").isin(names))
             overwrite_partitions(rows, stage, ["table_name"])
 
     return drain(stream, handle, f"{root}/checkpoint", every=every)
@@ -156,6 +161,11 @@ def load_report(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def rejected_report(spark: SparkSession, root: str) -> DataFrame:
+    """The names without a source that messages gave, per batch of messages."""
+    return read_batches(spark, f"{root}/rejected", LOADS).drop("batch_id")
+
+
 def batch_report(spark: SparkSession, root: str, expected: DataFrame | None = None) -> DataFrame:
     """Messages taken per batch that has its end mark; open batches are left out.
 

@@ -11,8 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stageline.session import drop_path, path_exists
+
 MESSAGE_SCHEMA = (
     "seq bigint, job_name string, job_instance int, body string, sent timestamp_ntz"
 )
@@ -64,6 +67,27 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
+def with_state(new: DataFrame, folder: str, batch_id: int, schema: str) -> DataFrame:
+    """``new`` and the state that ``keep_state`` kept in the micro-batch before."""
+    spark = new.sparkSession
+    if not path_exists(spark, folder):
+        return new
+    before = read_batches(spark, folder, schema).where(F.col("batch_id") < batch_id)
+    return new.unionByName(before.drop("batch_id"))
+
+
+def keep_state(rows: DataFrame, folder: str, batch_id: int, schema: str) -> DataFrame:
+    """Keep ``rows`` as the state after a micro-batch, and read it back.
+
+    Only this state and the one before it stay, for a repeat of the batch; so what a
+    micro-batch reads does not grow with their number.
+    """
+    spark = rows.sparkSession
+    write_batch(rows, folder, batch_id)
+    drop_path(spark, f"{folder}/batch_id={batch_id - 2}")
+    return spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id}")
+
+
 def read_batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """The kept rows of all micro-batches, with their ``batch_id``."""
     return spark.read.schema(f"{schema}, batch_id bigint").parquet(folder)

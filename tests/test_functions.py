@@ -56,6 +56,18 @@ def test_params(spark):
     assert [n for n in rows[0].asDict() if n != "i"] == list(schemas.PARAM_TYPES)
 
 
+def test_defaults_are_for_absent_fields(spark):
+    docs = ['{"max_retries": "2.5"}', '{"max_retries": null}', "{}", "not json", '{"max_retries": 99999999999}', None]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, job_param string")
+    got = params.with_params(df, defaults=schemas.UPDATE_DEFAULTS).orderBy("i").collect()
+    assert [r["max_retries"] for r in got] == [None, 1, 1, None, None, 1]
+    assert [r["command_name"] for r in got] == ["glueetl"] * 3 + [None] + ["glueetl"] * 2
+    bad = params.bad_fields(df, ["i"], "job_param").orderBy("i").collect()
+    assert [tuple(r) for r in bad] == [
+        (0, "max_retries", "2.5"), (3, None, "not json"), (4, "max_retries", "99999999999"),
+    ]
+
+
 def test_params_are_parsed_once(spark):
     df = spark.createDataFrame([("{}",)], "job_param string")
     plan = params.with_params(df)._jdf.queryExecution().optimizedPlan().toString()
@@ -74,6 +86,12 @@ def test_run_arguments(spark):
     }
 
 
+def test_no_table_list_has_no_argument(spark):
+    df = spark.createDataFrame([(7, None)], "i int, t string")
+    args = df.select(params.run_arguments(F.col("i"), F.col("t")).alias("a")).first()["a"]
+    assert "--tables" not in args and args["--incr-from"] == ""
+
+
 def test_status_class(spark):
     states = ["RUNNING", "UNKNOWN", "TIMEOUT", "STOPPED", None]
     assert column(spark, states, params.status_class) == [

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from stageline import schemas
 from stageline.operators import checks, end_mark, lookups, membership, updates
-from stageline.operators.skew import SALTS
 from stageline.plans.runs import decide_runs, tables_to_load
 
 KEY = schemas.INSTANCE_KEY
@@ -142,6 +141,26 @@ def test_latest_update_wins(spark, instances):
     assert ended.first()["job_run_id"] == "n3"
 
 
+def test_repeated_updates_add_no_rows(spark, instances):
+    twice = [("a", 1, "n1", "FAILED"), ("a", 1, "n1", "FAILED"), ("zz", 1, "n3", None), ("zz", 1, "n3", None)]
+    schema = "job_name string, job_instance int, job_run_id string, status string"
+    result = updates.update_instances(instances, spark.createDataFrame(twice, schema))
+    assert result.count() == instances.count()
+    differ = spark.createDataFrame([*twice, ("a", 1, "n2", "FAILED")], schema)
+    with pytest.raises(Exception, match="have no order"):
+        updates.update_instances(instances, differ).collect()
+    tied = differ.withColumn("seq", F.lit(None).cast("int"))
+    result = updates.update_instances(instances, tied, latest_by="seq")
+    assert result.count() == instances.count()
+    assert result.where("job_name = 'a' and job_instance = 1").first()["job_run_id"] == "n2"
+
+
+def test_stamp_keeps_the_type(spark):
+    details = spark.createDataFrame([("a", 1, "t")], "job_name string, job_instance int, table_name string")
+    details = details.withColumn("last_run_timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert updates.stamp_details(details, details).schema == details.schema
+
+
 def test_flags(spark):
     jobs = spark.createDataFrame(
         [("a", "N", None)], "job_name string, is_run_sync string, last_sync_timestamp timestamp"
@@ -227,9 +246,6 @@ def test_hot_job_is_split_in_joins(spark, small_skew):
     for joined in (
         lookups.active_instances(jobs, hot),
         lookups.active_tables(hot, jobs, ["job_name"]),
-        updates.keyed_update(
-            hot, jobs.select("job_name", F.lit("N").alias("is_active")), ["job_name"], ["is_active"]
-        ),
     ):
         assert "skew=true" in final_plan(joined)
         assert joined.count() == 3 * HOT
@@ -252,11 +268,12 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, small_skew):
     assert lookups.jobs_with_instances(jobs, hot).count() == 501
 
 
-def test_hot_batch_is_spread_over_salts(spark, small_skew):
+def test_hot_batch_is_split(spark, small_skew, shared):
     hot = hot_instances(spark).withColumns({"seq": F.col("job_instance").cast("bigint"), "body": F.lit("t")})
     messages = hot.withColumn("body", F.when(F.col("seq").isin(20_000, 25_000, 70_000), "done!").otherwise("t"))
     batch = ["job_name"]
-    marks = end_mark.end_marks(messages, F.col("body") == "done!", batch)
+    end_mark.end_marks(messages, F.col("body") == "done!", batch).write.parquet(shared)
+    marks = spark.read.parquet(shared)
     taken = end_mark.before_end_mark(messages, marks, batch=batch)
     assert taken.where("job_name = 'hot'").count() == 20_000
     marked = f"j{70_000 % 500}"
@@ -266,22 +283,8 @@ def test_hot_batch_is_spread_over_salts(spark, small_skew):
     opened = end_mark.before_end_mark(messages, marks, keep_open=True, batch=batch)
     others = messages.where(f"job_name not in ('hot', '{marked}')").count()
     assert opened.count() == taken.count() + others
-    # no salt holds much more than its share of the hot batch
-    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS))
-    sizes = [r["count"] for r in messages.where("job_name = 'hot'").groupBy(salt).count().collect()]
-    assert len(sizes) == SALTS and max(sizes) < 2 * HOT / SALTS
-
-
-def test_hot_list_comes_in_chunks(spark, small_skew):
-    hot = hot_instances(spark)
-    lists = lookups.active_table_lists(hot, ["job_name"]).cache()
-    assert lists.where("job_name <> 'hot' and chunk > 0").isEmpty()
-    chunks = [r["n_tables"] for r in lists.where("job_name = 'hot'").collect()]
-    assert len(chunks) == HOT // 1000 and max(chunks) < 1300
-    names = lists.select("job_name", F.explode(F.split("tables", "[|]")).alias("table_name"))
-    assert names.exceptAll(hot.select("job_name", "table_name")).isEmpty()
-    assert names.count() == hot.count()
-    lists.unpersist()
+    # the hot batch is split by its measured size
+    assert "skew=true" in final_plan(opened)
 
 
 def test_retention_pushes_its_cut_off(spark, sf_dir):

@@ -106,12 +106,24 @@ def test_failed_batch_is_repeated(spark, setting, monkeypatch):
     assert spark.table(f"details_{tag}").where("last_run_timestamp is not null").count() == 2
 
 
-def test_unknown_table_stops_the_stream(spark, setting):
-    run, inbox, _, tag = setting
+def test_unknown_table_is_set_aside(spark, setting):
+    run, inbox, root, tag = setting
     send(spark, inbox, ["t", "nope"], 1)
-    with pytest.raises(Exception, match="no source"):
+    run()
+    send(spark, inbox, ["u"], 3)
+    run()
+    assert spark.table(f"stage_t_{tag}").count() == 3 and spark.table(f"stage_u_{tag}").count() == 5
+    assert rows(loads.rejected_report(spark, root)) == [("j", 1, "nope", 1, 2)]
+
+
+def test_state_does_not_pile_up(spark, setting):
+    """A micro-batch reads the state of the one before it, however many there were."""
+    run, inbox, root, _ = setting
+    for seq in range(1, 6):
+        send(spark, inbox, ["done!"], seq, job=f"k{seq}")
         run()
-    assert not spark.catalog.tableExists(f"stage_t_{tag}")
+    assert batches(spark, f"{root}/known_marks") == [3, 4]
+    assert spark.read.parquet(f"{root}/known_marks/batch_id=4").count() == 5
 
 
 @pytest.mark.parametrize("files_per_trigger", [1, None])

@@ -10,7 +10,7 @@ from stageline.operators.end_mark import not_expired
 from stageline.registry import fixtures as fx
 from stageline.session import shared_folder
 from stageline.sinks.stage import live_slot, refresh_stage, truncate_stage
-from stageline.sinks.tables import convert_table, convert_tables, overwrite_partitions, write_table
+from stageline.sinks.tables import convert_table, convert_tables, load_increment, overwrite_partitions, write_table
 from stageline.sources import control
 from stageline.sources.files import increment, read_csv, read_jdbc, read_listing, read_partitions
 
@@ -122,6 +122,21 @@ def test_overwrite_touches_only_its_partitions(spark, shared):
     assert sorted(r["id"] for r in spark.read.parquet(shared).collect()) == [0, 2, 3, 5, 6, 8, 9, 99]
 
 
+def test_increments_keep_the_rest_of_a_partition(spark, shared):
+    months = spark.range(12).select(
+        "id", F.make_date(F.lit(1996), F.col("id").cast("int") + 1, F.lit(1)).alias("day"), F.lit(1996).alias("year")
+    )
+    months = months.unionByName(spark.createDataFrame([(99, None, None)], "id bigint, day date, year int"))
+    load_increment(months.where("id = 99"), shared, ["year"], "day")
+    for since, until in [("1996-07-01", "1997-01-01"), ("", "1996-04-01"), ("1996-04-01", "1996-07-01"),
+                         ("1996-07-01", "1997-01-01")]:
+        load_increment(months, shared, ["year"], "day", since, until)
+    assert sorted(r["id"] for r in spark.read.parquet(shared).collect()) == [*range(12), 99]
+    # rows that the increment no longer has go, where it has others in their partition
+    load_increment(months.where("id <> 8"), shared, ["year"], "day", "1996-07-01")
+    assert sorted(r["id"] for r in spark.read.parquet(shared).collect()) == [*(i for i in range(12) if i != 8), 99]
+
+
 def test_increment_bounds(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     day = orders.select(F.percentile(F.unix_timestamp("o_orderdate"), 0.5)).first()[0]
