@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from stageline import schemas
 from stageline.functions.params import with_fields
-from stageline.operators.membership import is_empty, sync_flag_count
-from stageline.operators.updates import mark_synced
+from stageline.operators.membership import sync_flag_count
+from stageline.operators.updates import mark_synced, set_sync_flag
 from stageline.sinks.stage import refresh_stage
 
 
@@ -116,19 +116,28 @@ def sync_cycle(
 ) -> str:
     """Bring the listed stage table in line with the jobs stage table.
 
-    Does nothing when a sync is flagged as running or there are no jobs. ``as_of``
-    is the time before the jobs were read, so that a job edited during the cycle
-    is newer than its stamp and is caught by the next one. With
+    Does nothing when a sync is flagged as running or there are no jobs; the flag is
+    set for the time of the cycle, and cleared when it fails. ``as_of`` is the time
+    before the jobs were read, and the stamp goes to the jobs as they are then, so that
+    an edit between the two writes stays and is caught by the next cycle. With
     ``buckets`` both tables are stored by job name, and the next cycle merges them
     without a shuffle. Returns ``running``, ``empty`` or ``done``.
     """
     jobs = spark.table(jobs_view)
     if sync_flag_count(jobs).first()["is_running"]:
         return "running"
-    if is_empty(jobs).first()["is_empty"]:
+    if jobs.isEmpty():
         return "empty"
-    listed = spark.table(listed_view)
-    after = apply_changes(jobs, listed, columns)
-    refresh_stage(after, listed_view, f"{root}/listed", buckets, schemas.JOB_KEY)
-    refresh_stage(mark_synced(jobs, as_of), jobs_view, f"{root}/jobs", buckets, schemas.JOB_KEY)
+
+    def store(rows: DataFrame, view: str, folder: str) -> DataFrame:
+        return refresh_stage(rows, view, f"{root}/{folder}", buckets, schemas.JOB_KEY)
+
+    jobs = store(set_sync_flag(jobs, schemas.YES), jobs_view, "jobs")
+    try:
+        after = apply_changes(jobs, spark.table(listed_view), columns)
+        store(after, listed_view, "listed")
+        store(mark_synced(spark.table(jobs_view), as_of), jobs_view, "jobs")
+    except Exception:
+        store(set_sync_flag(spark.table(jobs_view), schemas.NO), jobs_view, "jobs")
+        raise
     return "done"

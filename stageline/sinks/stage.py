@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stageline.sinks.tables import write_buckets, write_table
 
-_SLOT = "stageline.slot"
+_SLOT, _BUCKETS, _KEY = "stageline.slot", "stageline.buckets", "stageline.key"
+
+
+def _property(spark: SparkSession, view: str, name: str) -> str:
+    return spark.sql(f"show tblproperties {view} ('{name}')").first()["value"]
 
 
 def live_slot(spark: SparkSession, view: str) -> str | None:
     """Which folder the view shows; None when there is no such view yet."""
-    if not spark.catalog.tableExists(view):
-        return None
-    return spark.sql(f"show tblproperties {view} ('{_SLOT}')").first()["value"]
+    return _property(spark, view, _SLOT) if spark.catalog.tableExists(view) else None
 
 
 def refresh_stage(
@@ -41,12 +43,13 @@ def refresh_stage(
     else:
         rows = f"parquet.`{path}`"
         write_table(df, path)
-    spark.sql(
-        f"create or replace view {view} tblproperties ('{_SLOT}' = '{slot}') as select * from {rows}"
-    )
+    kept = {_SLOT: slot, _BUCKETS: buckets, _KEY: ",".join(key)}
+    properties = ", ".join(f"'{name}' = '{value}'" for name, value in kept.items())
+    spark.sql(f"create or replace view {view} tblproperties ({properties}) as select * from {rows}")
     return spark.table(view)
 
 
 def truncate_stage(spark: SparkSession, view: str, root: str) -> DataFrame:
-    """Remove all rows of the stage table; the columns stay."""
-    return refresh_stage(spark.table(view).where("false"), view, root)
+    """Remove all rows of the stage table; the columns and buckets stay."""
+    buckets, key = int(_property(spark, view, _BUCKETS)), _property(spark, view, _KEY)
+    return refresh_stage(spark.table(view).where("false"), view, root, buckets, key.split(",") if key else ())

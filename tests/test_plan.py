@@ -1,10 +1,12 @@
 """The change plan: edge rows, pandas as a second opinion, apply and plan again."""
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stageline.plans import sync
 from stageline.plans.sync import apply_changes, plan_changes, sync_cycle
 from stageline.registry import fixtures as fx
 from stageline.sinks.stage import refresh_stage
@@ -163,3 +165,47 @@ def test_repeated_listing_gives_one_action(spark):
     listed = names(spark, ["a"] * 1000 + ["z"])
     plan = plan_changes(wanted, listed)
     assert sorted(r["action"] for r in plan.collect()) == ["delete", "none"]
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_edit_during_a_cycle(spark, shared, monkeypatch, fails):
+    """The flag is set while the cycle runs; an edit between its writes stays and is
+    caught by the next cycle; a failure clears the flag."""
+    tag = shared.rsplit("-", 1)[-1]
+    jobs_view, listed_view = f"jobs_{tag}", f"listed_{tag}"
+    jobs = spark.sql(
+        "select 'a' as job_name, 'old' as job_description, 'Y' as is_active, 'N' as is_run_sync,"
+        " timestamp_ntz'2001-01-01 00:00:00' as modified_timestamp,"
+        " timestamp_ntz'1970-01-01 00:00:00' as last_sync_timestamp"
+    )
+    listed = spark.createDataFrame([], "job_name string, job_description string")
+    refresh_stage(jobs, jobs_view, f"{shared}/jobs")
+    refresh_stage(listed, listed_view, f"{shared}/listed")
+    stamp, real, flags = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"), refresh_stage, []
+
+    def edited(rows, view, *more):
+        result = real(rows, view, *more)
+        if view == listed_view:
+            now = spark.table(jobs_view)
+            flags.append(now.first()["is_run_sync"])
+            if fails:
+                raise RuntimeError("lost")
+            now = now.withColumns({"job_description": F.lit("new"), "modified_timestamp": F.date_add(stamp, 1).cast("timestamp_ntz")})
+            real(now, jobs_view, f"{shared}/jobs")
+        return result
+
+    def cycle():
+        return sync.sync_cycle(spark, jobs_view, listed_view, shared, ["job_description"], stamp)
+
+    monkeypatch.setattr(sync, "refresh_stage", edited)
+    if fails:
+        with pytest.raises(RuntimeError, match="lost"):
+            cycle()
+    else:
+        assert cycle() == "done"
+        assert spark.table(jobs_view).first()["job_description"] == "new"
+    monkeypatch.undo()
+    assert flags == ["Y"] and spark.table(jobs_view).first()["is_run_sync"] == "N"
+    if not fails:
+        assert cycle() == "done"
+        assert [tuple(r) for r in spark.table(listed_view).collect()] == [("a", "new")]

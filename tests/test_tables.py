@@ -225,6 +225,14 @@ def test_truncate_keeps_columns(spark, sf_dir, shared):
     assert empty.dtypes == supplier.dtypes
 
 
+def test_truncate_keeps_buckets(spark, shared):
+    views = [f"stage_{n}_{shared.rsplit('-', 1)[-1]}" for n in "ab"]
+    for view in views:
+        refresh_stage(spark.range(9), view, f"{shared}/{view}", 4, ["id"])
+    empty = truncate_stage(spark, views[0], f"{shared}/{views[0]}")
+    assert "Exchange" not in plan_text(empty.join(spark.table(views[1]).hint("merge"), "id"))
+
+
 def test_control_tables(spark, shared):
     database = f"control_{shared.rsplit('-', 1)[-1]}"
     control.create_control_tables(spark, database, shared)
