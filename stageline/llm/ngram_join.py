@@ -32,6 +32,7 @@ from stageline.llm.common import (
     written,
 )
 from stageline.llm.components import components
+from stageline.llm.exact_dedup import BITMAP_BITS, filter_cells
 
 SHINGLE, PERCENT = 5, 75
 #: segments of the bands of small sets, where nearly each shingle has its own
@@ -43,6 +44,8 @@ LAST_ID = (1 << 63) - 1
 COMPARE = 512
 #: rounds in which a signature with many pairs gives the nearest only, before all others
 NEAREST_ROUNDS = 2
+#: shingles of sets that a task keeps for the next pairs
+KNOWN_SHINGLES = 1 << 21
 #: pairs per set of a signature beyond which the nearest come first
 MANY = 4
 
@@ -111,8 +114,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found, starts = shingle_sets(*text_bytes(batch.column("text")), shingle)
-        columns = [*(batch.column(c) for c in ("id", "doc", "th")), pa.array(nodes(found, starts)), pa.array(np.diff(starts))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "doc", "th", "node", "n"])
+        bits = pa.array([sketch(found[i:j]) for i, j in zip(starts[:-1], starts[1:], strict=True)], pa.binary())
+        columns = [*(batch.column(c) for c in ("id", "doc", "th")), pa.array(nodes(found, starts)), pa.array(np.diff(starts)), bits]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "doc", "th", "node", "n", "bits"])
 
 
 class _Segments:
@@ -240,23 +244,36 @@ def _unpack(z: bytes, shingle: int) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]), shingle)[0]
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+def _apart(x: bytes, y: bytes) -> int:
+    """Shingles in which two sets differ at least, by their parity bits."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    folded = _fold(np.frombuffer(y, np.uint8)[None, :], len(x))[0]
+    return int(np.bitwise_count(np.frombuffer(x, np.uint8) ^ folded).sum(dtype=np.int64))
+
+
+def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the proposed pairs, those that parity bits leave open."""
     for batch in batches:
-        bits = pa.array([sketch(_unpack(z, shingle)) for z in batch.column("z").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("node"), bits], names=["node", "bits"])
+        total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+        most = total * (100 - PERCENT) // (100 + PERCENT)
+        sides = zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), most.tolist(), strict=True)
+        yield batch.select(["a", "b"]).filter(pa.array([_apart(x, y) <= m for x, y, m in sides], pa.bool_()))
 
 
 def _linked(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """Of the proposed pairs, those whose sets overlap enough."""
     known: dict[int, np.ndarray] = {}
+    held = 0
     for batch in batches:
         out = np.zeros(batch.num_rows, bool)
         for i, (a, b, za, zb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "za", "zb")), strict=True)):
-            if len(known) > 500:
+            if held > KNOWN_SHINGLES:
                 known.clear()
+                held = 0
             for node, z in ((a, za), (b, zb)):
                 if node not in known:
                     known[node] = _unpack(z, shingle)
+                    held += len(known[node])
             x, y = known[a], known[b]
             both = len(np.intersect1d(x, y, assume_unique=True))
             out[i] = 100 * both >= PERCENT * (len(x) + len(y) - both)
@@ -354,14 +371,42 @@ def _compared(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.R
         yield from pairs(held)
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
+def _maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the wanted ones, and few others, without a shuffle of the
+    rows. What is broadcast is a bitmap of at most 64 MB (``exact_dedup.MAX_CELLS``); beyond
+    about 33 million keys more rows pass, which the join that follows removes."""
+    cells = filter_cells(wanted.count())
+    cell = f"pmod(xxhash64({key}), {cells}L)"
+    set_cells = wanted.select(F.expr(cell).alias("cell"))
+    bitmaps = set_cells.groupBy(F.expr(f"cell div {BITMAP_BITS}").alias("bucket")).agg(
+        F.expr(f"bitmap_construct_agg(cell % {BITMAP_BITS})").alias("cells")
+    )
+    byte = f"cast(conv(hex(substring(cells, cast({cell} % {BITMAP_BITS} div 8 as int) + 1, 1)), 16, 10) as bigint)"
+    found = rows.join(F.broadcast(written(bitmaps, "wanted")), F.expr(f"{cell} div {BITMAP_BITS}") == F.col("bucket"))
+    return found.where(f"getbit({byte}, cast({cell} % 8 as int)) = 1").drop("bucket", "cells")
+
+
+def _near(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that the sizes and parity bits of their sets do not rule out."""
+    a = members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    b = members.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    return pairs.join(a, "a").join(b, "b").mapInArrow(_not_ruled_out, "a long, b long")
+
+
+def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """The pairs whose exact sets link. Only texts of sets in a pair are read further."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    need = written(members.join(ends, "node").select("node", "doc", "th"), "need")
+    texts = _maybe_in(rows.select("doc", "th", "text"), need.select("doc"), "doc")
+    bodies = texts.mapInArrow(_bodies, "doc long, th long, z binary").dropDuplicates(["doc", "th"])
+    bodies = written(bodies.join(need, ["doc", "th"]).select("node", "z"), "bodies")
     a = bodies.select(F.col("node").alias("a"), F.col("z").alias("za"))
     b = bodies.select(F.col("node").alias("b"), F.col("z").alias("zb"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "za", "zb")
     return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges")
 
 
-def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
+def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs to verify (``a, b``), of different components and with a signature in common,
     and signatures to compare again (``open``); then the rows of the signatures compared."""
     own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp"))
@@ -373,7 +418,7 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, bits: DataFrame, nearest:
     # signatures with the same members are compared once
     open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
     rest = written(own.join(written(open_, "open-signatures"), "sig", "left_semi"), "open")
-    dealt = rest.join(bits, "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
+    dealt = rest.join(members.select("node", "bits"), "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
     return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long"), rest.drop("comp")
 
 
@@ -406,7 +451,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     class; rows that repeat an id are answered one by one. Other columns are not read.
     """
     rows = _rows(docs, id_col, text_col)
-    sets = written(rows.mapInArrow(lambda b: _sets(b, shingle), "id long, doc long, th long, node long, n long"), "sets")
+    sets = written(rows.mapInArrow(lambda b: _sets(b, shingle), "id long, doc long, th long, node long, n long, bits binary"), "sets")
     largest = sets.agg(F.max("n")).first()[0] or 0
     bands = bands_of(rows, max(largest, 1).bit_length() - 1, shingle) if largest else {}
 
@@ -417,29 +462,28 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     shared = shared.where("hub.node <> top").select("sig", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     shared = written(shared.distinct(), "shared")
 
-    # the texts of those sets, one each
-    need = sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "th")).alias("at"))
-    need = need.select("node", "at.doc", "at.th")
-    bodies = rows.select("doc", "th", "text").mapInArrow(_bodies, "doc long, th long, z binary").join(need, ["doc", "th"])
-    bodies = written(bodies.select("node", "z").dropDuplicates(["node"]), "bodies")
+    # those sets, each with its bits and with one document that has it
+    some = sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node", "n")
+    members = some.agg(F.min(F.struct("doc", "th")).alias("at"), F.first("bits").alias("bits"))
+    members = written(members.select("node", "n", "at.doc", "at.th", "bits"), "members")
 
     # first each set against the hub that it shares most signatures with
     fits = 100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")
     votes = shared.where((F.col("node") != F.col("hub")) & fits).groupBy("node", "hub").count()
     best = votes.groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    first = written(best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
-    edges = _verified(first, bodies, shingle)
+    first = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    first = written(_near(first, members), "pairs")
+    edges = _verified(first, members, rows, shingle)
     joined = written(components(edges), "components")
 
     # then, in signatures that still span components, all sets that may yet link; where
     # these are very many, the nearest of each component first
-    bits = written(bodies.mapInArrow(lambda b: _sketches(b, shingle), "node long, bits binary"), "sketches")
     tried, left = first, shared
     for i in range(NEAREST_ROUNDS + 1):
-        found, left = _open_pairs(left, joined, bits, i < NEAREST_ROUNDS)
+        found, left = _open_pairs(left, joined, members, i < NEAREST_ROUNDS)
         found = written(found, "compared")
         pairs = written(found.where("open is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = _verified(pairs, bodies, shingle)
+        more = _verified(pairs, members, rows, shingle)
         if not more.isEmpty():
             tried, edges = tried.unionByName(pairs), edges.unionByName(more)
             joined = written(components(edges), "components")
