@@ -63,10 +63,11 @@ def band_segments(band: int) -> int:
     return SMALL_SEGMENTS if (1 << band) < SMALL_SET else 1 << band
 
 
-def most_errors(n: np.ndarray) -> np.ndarray:
-    """Most shingles in which a set of n may differ from any that it links with:
-    (n + m) (1 - t) / (1 + t) for the largest such m = n / t."""
-    return n * (100 - PERCENT) // PERCENT
+def most_errors(n: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Most shingles in which a set of n may differ from any of the band that it links with:
+    (n + m) (1 - t) / (1 + t) for the largest such m, which is n / t or the band's largest."""
+    m = np.minimum(100 * n // PERCENT, (np.int64(2) << band) - 1)
+    return (n + m) * (100 - PERCENT) // (100 + PERCENT)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +158,7 @@ def _costs(batches: Iterator[pa.RecordBatch], shingle: int, segments: dict[int,
         got = _Segments(found, starts, segments, None)
         cell = got.segment[got.start] * CELLS + (mix(got.hash) % np.uint64(CELLS)).astype(np.int64)
         filled = np.bincount(got.of, minlength=len(got.row))
-        short = filled < most_errors(np.diff(starts)[got.row]) + 1
+        short = filled < most_errors(np.diff(starts)[got.row], got.band) + 1
         for band in np.unique(got.band).tolist():
             counts = np.bincount(cell[got.band[got.of] == band], minlength=segments[band] * CELLS)
             counts = np.append(counts, (short & (got.band == band)).sum())
@@ -181,7 +182,7 @@ def allocate(counts: np.ndarray, band: int) -> Band:
     usable = int((cost <= EXPENSIVE * max(np.median(cost), 1)).sum())
     largest = (2 << band) - 1
     filled = 1 - np.exp(-largest / m)
-    missing = int(np.ceil((most_errors(np.int64(largest)) + 1) / filled)) - usable
+    missing = int(np.ceil((most_errors(np.int64(largest), np.int64(band + 1)) + 1) / filled)) - usable
     deletions = np.zeros(m, bool)
     if m < SMALL_SEGMENTS:  # in bands of small sets a neighbour of one shingle is nothing
         deletions[order[: min(max(missing, 0), usable)]] = True
@@ -219,7 +220,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
         before = np.cumsum(weight) - weight
         firsts = np.flatnonzero(np.append(True, got.of[1:] != got.of[:-1]))
         before = before - np.repeat(before[firsts], np.diff(np.append(firsts, len(before))))
-        use = before <= most_errors(n[got.row])[got.of]
+        use = before <= most_errors(n[got.row], got.band)[got.of]
         salt = mix(segment.astype(np.uint64) * np.uint64(64) + band.astype(np.uint64) + np.uint64(1))
         sig, owner = [mix(got.hash[use] ^ salt[use])], [got.of[use]]
         near = np.flatnonzero(use & twice & (got.size > 1))
@@ -229,7 +230,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
             sig.append(mix((got.hash[each] - got.token[at]) ^ salt[each]))
             owner.append(got.of[each])
         sig, owner = np.concatenate(sig), got.row[np.concatenate(owner)]
-        yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(names[owner]), pa.array(n[owner])], names=["sig", "node", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(names[owner])], names=["sig", "node"])
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +410,7 @@ def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: in
 def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs to verify (``a, b``), of different components and with a signature in common,
     and signatures to compare again (``open``); then the rows of the signatures compared."""
-    own = shared.join(joined, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("comp"))
+    own = shared.join(joined, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("comp"))
     own = written(own, "open")
     groups = own.groupBy("sig").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"),
@@ -418,7 +419,7 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, neares
     # signatures with the same members are compared once
     open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
     rest = written(own.join(written(open_, "open-signatures"), "sig", "left_semi"), "open")
-    dealt = rest.join(members.select("node", "bits"), "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
+    dealt = rest.join(members.select("node", "n", "bits"), "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
     return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long"), rest.drop("comp")
 
 
@@ -456,35 +457,32 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     bands = bands_of(rows, max(largest, 1).bit_length() - 1, shingle) if largest else {}
 
     # signatures that more than one set has
-    found = rows.select("text").mapInArrow(lambda b: _signatures(b, shingle, bands), "sig long, node long, n long")
+    found = rows.select("text").mapInArrow(lambda b: _signatures(b, shingle, bands), "sig long, node long")
     of = Window.partitionBy("sig")
-    shared = found.withColumn("hub", F.min(F.struct("node", "n")).over(of)).withColumn("top", F.max("node").over(of))
-    shared = shared.where("hub.node <> top").select("sig", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    shared = written(shared.distinct(), "shared")
+    shared = found.withColumn("hub", F.min("node").over(of)).withColumn("top", F.max("node").over(of)).where("hub <> top")
+    shared = shared.withColumn("others", F.max(F.expr("node <> hub and node <> top")).over(of))
+    shared = written(shared.select("sig", "node", "hub", "others").distinct(), "shared")
 
     # those sets, each with its bits and with one document that has it
     some = sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node", "n")
     members = some.agg(F.min(F.struct("doc", "th")).alias("at"), F.first("bits").alias("bits"))
     members = written(members.select("node", "n", "at.doc", "at.th", "bits"), "members")
 
-    # first each set against the hub that it shares most signatures with
-    fits = 100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")
-    votes = shared.where((F.col("node") != F.col("hub")) & fits).groupBy("node", "hub").count()
-    best = votes.groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    first = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    # first each set against the hub, the least set, of each of its signatures
+    first = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     first = written(_near(first, members), "pairs")
     edges = _verified(first, members, rows, shingle)
     joined = written(components(edges), "components")
 
-    # then, in signatures that still span components, all sets that may yet link; where
-    # these are very many, the nearest of each component first
-    tried, left = first, shared
+    # then, in signatures that more than two sets have and that still span components, all
+    # sets that may yet link; where these are very many, the nearest of each component first
+    tried, left = first, shared.where("others").select("sig", "node")
     for i in range(NEAREST_ROUNDS + 1):
         found, left = _open_pairs(left, joined, members, i < NEAREST_ROUNDS)
         found = written(found, "compared")
         pairs = written(found.where("open is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = _verified(pairs, members, rows, shingle)
-        if not more.isEmpty():
+        more = None if pairs.isEmpty() else _verified(pairs, members, rows, shingle)
+        if more is not None and not more.isEmpty():
             tried, edges = tried.unionByName(pairs), edges.unionByName(more)
             joined = written(components(edges), "components")
         again = written(found.where("open is not null").select(F.col("open").alias("sig")), "again")
