@@ -1,23 +1,25 @@
 """Main text of web pages by nearest-URL page differencing.
 
-Pages are cut into text blocks in one pass over the markup. Blocks inside an article (or
-main) are the page's own; blocks of menus, footers, adverts and the like go. What is
-left outside an article is undecided: there each page is paired with the page whose
-URL path is nearest on the same host, their lines are aligned by longest common
-subsequence, and lines that both share are template and go.
+Pages are cut into text blocks in one pass over the markup. Blocks of menus, footers,
+adverts and the like go by their markup. Each page is then paired with the page of other
+lines whose URL path is nearest on the same host, their lines are aligned by longest
+common subsequence, and lines that both share are template and go. An article (or main)
+is evidence in one case: where two pages may be copies that differ in little, its lines stay.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html
+import itertools
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stageline.llm.common import slices, written
 
@@ -144,72 +146,119 @@ def _url_parts(url) -> tuple:
     return F.substring_index(bare, "/", 1), F.regexp_replace(bare, r"^[^/]*|/+$", "")
 
 
-def neighbours(pages: DataFrame, group: int = 1000) -> DataFrame:
-    """``row, other``: the page of the same host whose path shares the longest beginning.
+def _digest(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
-    Paths are sorted within host and first path element (salted by the row for hosts with
-    more pages than ``group``), so that the pages of a hot host are dealt out.
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Each slice with the blocks of its pages and the digest of each page's blocks, by
+    which copies are recognised: equal for pages of equal lines."""
+    for batch in slices(batches, "html"):
+        found = [page_blocks(s) for s in batch.column("html").to_pylist()]
+        hashes = [[_digest(t.encode()) for t, _ in f] for f in found]
+        names = [_digest(repr((h, [o for _, o in f])).encode()) for h, f in zip(hashes, found, strict=True)]
+        yield batch, found, hashes, pa.array(names, pa.int64())
+
+
+LINES = "host string, path string, digest long, hashes array<long>, sizes array<int>, own array<boolean>"
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, found, hashes, names in _cut(batches):
+        sizes = pa.array([[len(t) for t, _ in f] for f in found], pa.list_(pa.int32()))
+        own = pa.array([[o for _, o in f] for f in found], pa.list_(pa.bool_()))
+        columns = [batch.column("host"), batch.column("path"), names, pa.array(hashes, pa.list_(pa.int64())), sizes, own]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in LINES.split(", ")])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tool = zstandard.ZstdCompressor(level=3)
+    for batch, found, _, names in _cut(batches):
+        z = pa.array([tool.compress("\n".join(t for t, _ in f).encode()) for f in found], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), names, z], names=["page_id", "url", "host", "digest", "z"])
+
+
+def template_lines(page: dict, near: dict, far: dict | None) -> list[int]:
+    """Places of the lines of ``page`` that are template: those that the nearest page shares.
+
+    Where the shared lines are half of a page's text or more, the two may be copies that
+    differ in little. Then lines of an article stay; of the others those go that the
+    ``far`` neighbour shares too, if there is one.
     """
-    host, path = _url_parts(F.col("url"))
-    slim = pages.select("row", host.alias("host"), path.alias("path"))
-    hosts = slim.groupBy("host").count().select("host", F.ceil(F.col("count") / group).alias("parts"))
-    slim = slim.join(written(hosts, "hosts"), "host")
-    first = F.substring_index(F.col("path"), "/", 2)
-    slim = slim.withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64(first, F.pmod(F.xxhash64("row"), F.col("parts"))), F.lit(1 << 40))).otherwise(0))
-    order = Window.partitionBy("host", "part").orderBy("path", "row")
+    shared = shared_lines(page["hashes"], near["hashes"])
 
-    def common(a, b):
-        """Path elements before the first that differs; all of them if none does."""
-        same = F.zip_with(F.split(a, "/"), F.split(b, "/"), lambda x, y: x.eqNullSafe(y))
-        return F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)), F.size(same) + 1)
+    def copies(own: bool) -> bool:
+        both = sum(page["sizes"][i] for i in shared if page["own"][i] == own)
+        return 0 < min(sum(s for s, o in zip(p["sizes"], p["own"], strict=True) if o == own) for p in (page, near)) <= 2 * both
 
-    near = slim.withColumn("before", F.lag(F.struct("row", "path")).over(order)).withColumn("after", F.lead(F.struct("row", "path")).over(order))
-    after_is_nearer = common(F.col("path"), F.col("after.path")) > common(F.col("path"), F.col("before.path"))
-    closer = F.when(F.col("before").isNull() | (F.col("after").isNotNull() & after_is_nearer), F.col("after.row")).otherwise(F.col("before.row"))
-    return near.select("row", closer.alias("other")).where("other is not null")
+    kept = {i for i in shared if page["own"][i]} if copies(True) else set()
+    if far is not None and copies(False):
+        also = shared_lines(page["hashes"], far["hashes"])
+        kept |= {i for i in shared if not page["own"][i] and i not in also}
+    return sorted(shared - kept)
 
 
-BLOCKS = "row long, page_id long, url string, lines array<string>, own array<boolean>"
+def _common(a: str, b: str) -> int:
+    """Path elements before the first that differs."""
+    x, y = a.split("/"), b.split("/")
+    return next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "html"):
-        found = [page_blocks(s) for s in batch.column("html").to_pylist()]
-        lines = pa.array([[t for t, _ in f] for f in found], pa.list_(pa.string()))
-        own = pa.array([[o for _, o in f] for f in found], pa.list_(pa.bool_()))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("page_id"), batch.column("url"), lines, own], names=["row", "page_id", "url", "lines", "own"])
+def _gone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The template lines of each page, from pages in the order of part, host and path;
+    pages that another part lent (``lent``) are neighbours only."""
+
+    def rows():
+        for batch in batches:
+            yield from batch.to_pylist()
+
+    def judged():
+        before, page = None, None
+        for after in itertools.chain(rows(), [None]):
+            if page is not None and not page["lent"]:
+                sides = [p for p in (before, after) if p is not None and (p["part"], p["host"]) == (page["part"], page["host"])]
+                if sides:
+                    sides.sort(key=lambda p: -_common(page["path"], p["path"]))  # of equally near ones, the one before
+                    lines = template_lines(page, sides[0], sides[1] if len(sides) > 1 else None)
+                    if lines:
+                        yield page["host"], page["digest"], lines
+            before, page = page, after
+
+    out = judged()
+    while some := list(itertools.islice(out, 5000)):
+        host, digest, lines = zip(*some, strict=True)
+        columns = [pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(lines, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "digest", "gone"])
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tool = zstandard.ZstdDecompressor()
     for batch in batches:
         out = []
-        for lines, own, other in zip(*(batch.column(c).to_pylist() for c in ("lines", "own", "other_lines")), strict=True):
-            mine = [i for i, o in enumerate(own) if not o]
-            shared = {mine[k] for k in shared_lines([lines[i] for i in mine], other or [])}
-            out.append("\n".join(t for i, t in enumerate(lines) if i not in shared))
+        for z, gone in zip(batch.column("z").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            lines, drop = tool.decompress(z).decode().split("\n") if z else [], set(gone or ())
+            out.append("\n".join(t for i, t in enumerate(lines) if i not in drop))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars.
 
-    Where a page has an article, only its blocks count; a page without one keeps the
-    lines that the nearest page of its host does not share. Null html is empty; a null
-    url is a host of its own name; rows that repeat a page are pages of their own, and
-    so share all lines outside an article. Other columns are not read.
+    Every page is aligned with the nearest page of its host that has other lines; lines
+    that both share go, in an article too, unless the two are copies that differ in
+    little (``template_lines``). Pages of equal lines are one page there, under the least
+    of their paths, and are answered alike. Null html is empty; a null url is a host of
+    its own name. Other columns are not read.
     """
+    host, path = _url_parts(F.col("url"))
     rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
-    )
-    found = written(rows.mapInArrow(_blocks, BLOCKS), "blocks")
-    has_own = F.exists("own", lambda o: o)
-    kept = F.filter(F.arrays_zip("lines", "own"), lambda x: x["own"])
-    whole = found.where(has_own | (F.size("lines") == 0)).select(
-        "page_id", "url", F.array_join(F.transform(kept, lambda x: x["lines"]), "\n").alias("text")
+        F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"), F.coalesce("html", F.lit("")).alias("html")
     )
-    open_ = found.where(~has_own & (F.size("lines") > 0))
-    other = open_.select(F.col("row").alias("other"), F.col("lines").alias("other_lines"))
-    pairs = written(neighbours(open_), "neighbours")
-    judged = open_.join(pairs, "row", "left").join(other, "other", "left").select("page_id", "url", "lines", "own", "other_lines")
-    text = whole.unionByName(judged.mapInArrow(_left, "page_id long, url string, text string"))
-    return text.withColumn("n_chars", F.length("text").cast("long"))
+    lines = rows.select("host", "path", "html").mapInArrow(_lines, LINES).where(F.size("hashes") > 0)
+    same = lines.groupBy("host", "digest")
+    classes = same.agg(F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "sizes", "own")))
+    dealt = classes.withColumn("part", F.lit(0)).withColumn("lent", F.lit(False)).repartition("host").sortWithinPartitions("host", F.split("path", "/"), "digest")
+    gone = written(dealt.mapInArrow(_gone, "host string, digest long, gone array<int>"), "gone")
+    texts = rows.select("page_id", "url", "host", "html").mapInArrow(_texts, "page_id long, url string, host string, digest long, z binary")
+    text = texts.join(gone, ["host", "digest"], "left").select("page_id", "url", "z", "gone")
+    return text.mapInArrow(_left, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -61,6 +61,31 @@ def test_shared_lines_of_neighbours_go(spark):
     assert main_text(df.where("false")).count() == 0
 
 
+def texts_of(spark, rows, name="page_id long, url string, html string"):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], name)
+    return {r.page_id: r.text for r in main_text(df).collect()}
+
+
+def test_articles_are_aligned_too(spark):
+    rng = random.Random(5)
+    own = [[prose(rng, 9) for _ in range(3)] for _ in range(5)]
+    art = ["<article>" + "".join(f"<p>{t}</p>" for t in o) + "<p>Share now</p></article>" for o in own]
+    rows = [
+        ("http://a.example/n/1", "<div>Menu</div>" + art[0]),
+        ("http://a.example/n/2", "<div>Menu</div>" + art[1]),
+        # without an article, on a host of article pages
+        ("http://a.example/n/3", "<div>Menu</div>" + "".join(f"<p>{t}</p>" for t in own[2])),
+        # a small teaser beside the main text
+        ("http://a.example/n/4", f"<div>Menu</div><div><p>{own[3][0]}</p><p>{own[3][1]}</p></div><article><p>Teaser {own[4][0]}</p></article>"),
+        # an article and a copy of it that differs in one line keep their text
+        ("http://b.example/1", "<div>Menu</div>" + art[0]),
+        ("http://b.example/2", "<div>Menu</div>" + art[0].replace("<p>Share", "<p>x</p><p>Share")),
+    ]
+    got = texts_of(spark, rows)
+    want = [own[0], own[1], own[2], [*own[3][:2], "Teaser " + own[4][0]], [*own[0], "Share now"], [*own[0], "x", "Share now"]]
+    assert got == {i: "\n".join(w) for i, w in enumerate(want)}
+
+
 def full_matches(template, words):
     return lcs(template, words)
 
