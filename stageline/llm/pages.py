@@ -20,6 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stageline.llm.common import slices, written
 
@@ -231,6 +232,24 @@ def _gone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["host", "digest", "gone"])
 
 
+def in_ranges(classes: DataFrame) -> DataFrame:
+    """The pages dealt to ranges (``part``) of host and path, each range with the border
+    page of the range before and after it (``lent``): neighbours are exact at any host size."""
+    order = ["host", F.split("path", "/"), "digest"]  # by path elements: /a, /a/b, /a-b
+    ranged = classes.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
+    place = F.struct("host", F.split("path", "/").alias("key"), "digest")
+    ends = ranged.groupBy("part").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    parts = Window.orderBy("part")  # a row per range
+    ends = ends.withColumn("before", F.lag("part").over(parts)).withColumn("after", F.lead("part").over(parts))
+    ends = written(ends, "borders")
+    to_before = ends.select(F.col("first.host").alias("host"), F.col("first.digest").alias("digest"), F.col("before").alias("to"))
+    to_after = ends.select(F.col("last.host").alias("host"), F.col("last.digest").alias("digest"), F.col("after").alias("to"))
+    lent = ranged.join(to_before.unionByName(to_after).where("to is not null"), ["host", "digest"])
+    lent = lent.drop("part").withColumnRenamed("to", "part").withColumn("lent", F.lit(True))
+    return ranged.withColumn("lent", F.lit(False)).unionByName(lent)
+
+
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tool = zstandard.ZstdDecompressor()
     for batch in batches:
@@ -257,7 +276,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     lines = rows.select("host", "path", "html").mapInArrow(_lines, LINES).where(F.size("hashes") > 0)
     same = lines.groupBy("host", "digest")
     classes = same.agg(F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "sizes", "own")))
-    dealt = classes.withColumn("part", F.lit(0)).withColumn("lent", F.lit(False)).repartition("host").sortWithinPartitions("host", F.split("path", "/"), "digest")
+    dealt = in_ranges(written(classes, "classes")).repartition("part").sortWithinPartitions("part", "host", F.split("path", "/"), "digest")
     gone = written(dealt.mapInArrow(_gone, "host string, digest long, gone array<int>"), "gone")
     texts = rows.select("page_id", "url", "host", "html").mapInArrow(_texts, "page_id long, url string, host string, digest long, z binary")
     text = texts.join(gone, ["host", "digest"], "left").select("page_id", "url", "z", "gone")

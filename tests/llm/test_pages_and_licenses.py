@@ -86,6 +86,19 @@ def test_articles_are_aligned_too(spark):
     assert got == {i: "\n".join(w) for i, w in enumerate(want)}
 
 
+def test_neighbours_are_exact_at_any_host_size(spark):
+    """Each directory has a line of its own, so that only the true neighbour shares it."""
+
+    def rows(n):
+        paths = [f"dir{i // 2:05d}/{i}" for i in range(n)]
+        return [(f"http://hot.example/{p}", f"<p>Section {i // 2}</p><p>own text {i} of the page</p><p>Foot</p>") for i, p in enumerate(paths)]
+
+    for n in (998, 2200):
+        assert texts_of(spark, rows(n)) == {i: f"own text {i} of the page" for i in range(n)}
+    slugs = [(f"http://hot.example/slug-{i}", f"<p>Top</p><p>own text {i} of the page</p>") for i in range(1200)]
+    assert texts_of(spark, slugs) == {i: f"own text {i} of the page" for i in range(1200)}
+
+
 def full_matches(template, words):
     return lcs(template, words)
 
