@@ -99,6 +99,20 @@ def test_neighbours_are_exact_at_any_host_size(spark):
     assert texts_of(spark, slugs) == {i: f"own text {i} of the page" for i in range(1200)}
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    def page(i):
+        return f"<div>Top</div><p>own text {i} of the page</p><p>more of {i} to read</p>"
+
+    paths = ["en/1?utm=x", "en/1", "mirror/en/1", "en/1", "en/2", "en/3", "en/3/"]
+    rows = [(f"http://a.example/{p}", page(p.split("?")[0].strip("/")[-1])) for p in paths]
+    rows += [("http://alone.example/1", page(7)), ("http://alone.example/1?x", page(7))]
+    got = texts_of(spark, rows)
+    for i in range(len(paths)):
+        k = rows[i][0].split("?")[0].strip("/")[-1]
+        assert got[i] == f"own text {k} of the page\nmore of {k} to read"
+    assert got[7] == got[8] == "Top\nown text 7 of the page\nmore of 7 to read"
+
+
 def full_matches(template, words):
     return lcs(template, words)
 
