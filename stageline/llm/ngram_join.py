@@ -48,6 +48,10 @@ NEAREST_ROUNDS = 2
 KNOWN_SHINGLES = 1 << 21
 #: pairs per set of a signature beyond which the nearest come first
 MANY = 4
+#: rows of a signature beyond which they are dealt into blocks, each of about half as many
+GROUP_ROWS = 4096
+#: sets link only if their sizes lie in the same or in neighbouring powers of this (> 4/3)
+SIZE_STEP = 1.34
 
 
 @dataclass
@@ -290,8 +294,10 @@ def _fold(bits: np.ndarray, to: int) -> np.ndarray:
 
 def _near_pairs(part: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
     """Rows of one signature that lie in different components and that neither size nor
-    parity bits rule out: both places, and the share of shingles that must differ."""
-    n, comp = (part.column(c).to_numpy() for c in ("n", "comp"))
+    parity bits rule out: both places, and the share of shingles that must differ. Of two
+    blocks (``side``) only pairs with a row in each."""
+    n, comp, side = (part.column(c).to_numpy() for c in ("n", "comp", "side"))
+    two = bool(side.any())
     raw = part.column("bits").to_pylist()
     width = np.array([len(x) for x in raw])
     for w in np.unique(width).tolist():  # a set meets those with as many bits, and with more
@@ -305,6 +311,8 @@ def _near_pairs(part: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
                 b = right[to : to + COMPARE]
                 small, large = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
                 ok = (comp[a][:, None] != comp[b]) & (100 * small >= PERCENT * large) & ((a[:, None] < b) | (width[b] > w))
+                if two:
+                    ok &= side[a][:, None] != side[b]
                 i, j = np.nonzero(ok)
                 for lo in range(0, len(i), 1 << 16):
                     p, q = i[lo : lo + (1 << 16)], j[lo : lo + (1 << 16)]
@@ -314,8 +322,8 @@ def _near_pairs(part: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
                     yield a[p[near]], b[q[near]], differ[near] / total[near]
 
 
-def _nearest(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs of a signature, the nearest of each component."""
+def _nearest(part: pa.Table) -> list[np.ndarray]:
+    """Of the pairs of a signature, the nearest of each component: component, both places, distance."""
     comp = part.column("comp").to_numpy()
     best = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]  # component, both places, distance
     for a, b, far in _near_pairs(part):
@@ -324,30 +332,35 @@ def _nearest(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((best[3], best[0]))
         first = order[np.append(True, np.diff(best[0][order]) != 0)[: len(order)]]
         best = [x[first] for x in best]
-    return best[1], best[2]
+    return best
+
+
+COMPARED = "a long, b long, open long, comp long, far double"
 
 
 def _compared(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs to verify, from rows sorted by signature: all of them; or, if ``nearest`` and a
-    signature has more than MANY pairs per set, the nearest of each component, and the
-    signature itself as ``open``, to be compared again when those are joined."""
+    """Pairs to verify, from rows sorted by signature and pair of blocks: all of them; or, if
+    ``nearest`` and a signature has more than MANY pairs per set or is dealt into blocks, the
+    nearest of each component (``comp``, ``far``), and the signature itself as ``open``, to be
+    compared again when those are joined."""
 
-    def rows(part, a, b):
+    def rows(part, a, b, open_=None, comp=None, far=None):
         node = part.column("node").to_numpy()
         x, y = node[a], node[b]
-        nothing = pa.nulls(len(x), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), nothing], names=["a", "b", "open"])
+        more = ((open_, pa.int64()), (comp, pa.int64()), (far, pa.float64()))
+        more = [pa.nulls(len(x), k) if c is None else pa.array(c, k) for c, k in more]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *more], names=["a", "b", "open", "comp", "far"])
 
     def pairs(parts):
         part = pa.Table.from_batches(parts)
+        dealt = part.column("x")[0].as_py() != part.column("y")[0].as_py() or part.column("x")[0].as_py() > 0
         held, count = [], 0
         for a, b, _ in _near_pairs(part):
             held.append((a, b))
             count += len(a)
-            if nearest and count > MANY * len(part):
-                yield rows(part, *_nearest(part))
-                nothing = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([nothing, nothing, part.column("sig").combine_chunks()[:1]], names=["a", "b", "open"])
+            if nearest and count > (0 if dealt else MANY * len(part)):
+                comp, a, b, far = _nearest(part)
+                yield rows(part, a, b, np.full(len(a), part.column("sig")[0].as_py()), comp, far)
                 return
             if not nearest and count > 100_000:
                 yield from (rows(part, *x) for x in held)
@@ -359,10 +372,10 @@ def _compared(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.R
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig = batch.column("sig").to_numpy(False)
+        key = np.stack([batch.column(c).to_numpy(False) for c in ("sig", "x", "y")])
         begin = 0
-        last = held[-1].column("sig")[-1].as_py() if held else None
-        for cut in np.flatnonzero(np.append(sig[0] != last, sig[1:] != sig[:-1])).tolist():
+        last = [held[-1].column(c)[-1].as_py() for c in ("sig", "x", "y")] if held else None
+        for cut in np.flatnonzero(np.append(key[:, 0].tolist() != last, (key[:, 1:] != key[:, :-1]).any(0))).tolist():
             parts = [*held, batch.slice(begin, cut - begin)] if cut > begin else held
             if parts:
                 yield from pairs(parts)
@@ -407,9 +420,37 @@ def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: in
     return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges")
 
 
-def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs to verify (``a, b``), of different components and with a signature in common,
-    and signatures to compare again (``open``); then the rows of the signatures compared."""
+def _dealt(rest: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of open signatures with their sizes and bits, and the pair of blocks ``x, y``
+    that they are to be compared in; ``side`` tells the blocks apart.
+
+    A signature of more than GROUP_ROWS is dealt by size and hash; each pair of its blocks
+    whose sizes may link is a group of its own, so that no group grows with the signature.
+    """
+    own = rest.join(members.select("node", "n", "bits"), "node")
+    whole = own.where(F.col("rows") <= GROUP_ROWS).withColumn("x", F.lit(0)).withColumn("y", F.lit(0)).withColumn("side", F.lit(0))
+    columns = ["sig", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "side", "node", "n", "comp", "bits"]
+    hot = own.where(F.col("rows") > GROUP_ROWS).withColumn("step", F.floor(F.log("n") / F.log(F.lit(SIZE_STEP))))
+    steps = hot.groupBy("sig", "step").agg(F.ceil(F.count("*") / F.lit(GROUP_ROWS / 2)).alias("blocks"))
+    steps = written(steps, "steps")
+    if steps.isEmpty():
+        return whole.select(*columns)
+    # a block's name: its step and its place there, never 0
+    blocks = steps.select("sig", "step", F.explode(F.sequence(F.lit(1).cast("long"), "blocks")).alias("place"))
+    blocks = blocks.withColumn("block", F.col("step") * F.lit(1 << 32) + F.col("place"))
+    x = blocks.select("sig", F.col("step").alias("x_step"), F.col("block").alias("x"))
+    y = blocks.select("sig", F.col("step").alias("y_step"), F.col("block").alias("y"))
+    met = written(x.join(y, "sig").where("x <= y and y_step - x_step <= 1").select("sig", "x", "y"), "block-pairs")
+    sent = met.select("sig", F.col("x").alias("block"), "x", "y", F.lit(0).alias("side"))
+    sent = sent.unionByName(met.where("x < y").select("sig", F.col("y").alias("block"), "x", "y", F.lit(1).alias("side")))
+    place = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")) + 1
+    hot = hot.join(steps, ["sig", "step"]).withColumn("block", F.col("step") * F.lit(1 << 32) + place)
+    return whole.select(*columns).unionByName(hot.join(sent, ["sig", "block"]).select(*columns))
+
+
+def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs to verify (``a, b``), of different components and with a signature in common;
+    signatures to compare again; then the rows of the signatures compared."""
     own = shared.join(joined, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("comp"))
     own = written(own, "open")
     groups = own.groupBy("sig").agg(
@@ -417,10 +458,14 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, members: DataFrame, neares
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("y"),
     )
     # signatures with the same members are compared once
-    open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    rest = written(own.join(written(open_, "open-signatures"), "sig", "left_semi"), "open")
-    dealt = rest.join(members.select("node", "n", "bits"), "node").repartition("sig").sortWithinPartitions("sig", "n", "node")
-    return dealt.mapInArrow(lambda b: _compared(b, nearest), "a long, b long, open long"), rest.drop("comp")
+    open_ = groups.where("low <> high").groupBy("rows", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "rows")
+    rest = written(own.join(written(open_, "open-signatures"), "sig"), "open")
+    dealt = _dealt(rest, members).repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y", "n", "node")
+    found = written(dealt.mapInArrow(lambda b: _compared(b, nearest), COMPARED), "compared")
+    again = found.where("open is not null")
+    near = again.groupBy("open", "comp").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("pair")).select("pair.*")
+    pairs = found.where("open is null").select("a", "b").unionByName(near)
+    return pairs, again.select(F.col("open").alias("sig")).distinct(), rest.drop("comp", "rows")
 
 
 def bands_of(rows: DataFrame, top: int, shingle: int) -> dict[int, Band]:
@@ -478,14 +523,13 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     # sets that may yet link; where these are very many, the nearest of each component first
     tried, left = first, shared.where("others").select("sig", "node")
     for i in range(NEAREST_ROUNDS + 1):
-        found, left = _open_pairs(left, joined, members, i < NEAREST_ROUNDS)
-        found = written(found, "compared")
-        pairs = written(found.where("open is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        found, again, left = _open_pairs(left, joined, members, i < NEAREST_ROUNDS)
+        pairs = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more = None if pairs.isEmpty() else _verified(pairs, members, rows, shingle)
         if more is not None and not more.isEmpty():
             tried, edges = tried.unionByName(pairs), edges.unionByName(more)
             joined = written(components(edges), "components")
-        again = written(found.where("open is not null").select(F.col("open").alias("sig")), "again")
+        again = written(again, "again")
         if again.isEmpty():
             break
         left = left.join(again, "sig", "left_semi")

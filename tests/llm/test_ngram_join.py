@@ -79,6 +79,40 @@ def test_nearest_rounds_lose_nothing(spark, monkeypatch):
     assert result(jaccard_classes(frame(spark, texts))) == brute(enumerate(texts))
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_large_signatures_are_dealt_into_blocks(spark, monkeypatch, rounds):
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "NEAREST_ROUNDS", rounds)
+    sizes = []
+    compared = ngram_join._compared
+
+    def watched(batches, nearest):
+        counts = {}
+
+        def seen():
+            for batch in batches:
+                for key in zip(*(batch.column(c).to_pylist() for c in ("sig", "x", "y")), strict=True):
+                    counts[key] = counts.get(key, 0) + 1
+                yield batch
+
+        yield from compared(seen(), nearest)
+        assert max(counts.values(), default=0) <= 20  # of 60 sets with a signature in common
+
+    monkeypatch.setattr(ngram_join, "_compared", watched)
+    dealt = ngram_join._dealt
+    monkeypatch.setattr(ngram_join, "_dealt", lambda *a: sizes.append(out := dealt(*a)) or out)
+    rng = random.Random(21)
+    base = prose(rng, 60, 10_000).split(" ")
+    texts = []
+    for i in range(60):  # a common half; a chain of threes at the end
+        tail = [f"t{i // 3}x{k}" for k in range(30 + i % 7 * 5)]
+        tail[(i % 3) * 9] = f"edit{i}"
+        texts.append(" ".join(base + tail))
+    texts += near_texts(13, 20)
+    assert result(jaccard_classes(frame(spark, texts))) == brute(enumerate(texts))
+    assert any(not d.where("x > 0").isEmpty() for d in sizes)
+
+
 def test_common_passage_and_neighbours(spark, monkeypatch):
     """Expensive segments are put last and deletions make up for them: nothing is lost."""
     real = allocate
