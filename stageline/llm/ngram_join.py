@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stageline.llm.common import (
+    SLICE_BYTES,
     gram_hashes,
     mix,
     slices,
@@ -48,6 +49,10 @@ NEAREST_ROUNDS = 2
 KNOWN_SHINGLES = 1 << 21
 #: pairs per set of a signature beyond which the nearest come first
 MANY = 4
+#: sets, and shingles, of a class beyond which it is dealt into blocks to count its links
+LINK_SETS, LINK_SHINGLES = 256, 1 << 20
+#: shingles that block pairs are multiplied in at a time
+COLUMNS = 4096
 #: rows of a signature beyond which they are dealt into blocks, each of about half as many
 GROUP_ROWS = 4096
 #: sets link only if their sizes lie in the same or in neighbouring powers of this (> 4/3)
@@ -407,8 +412,9 @@ def _near(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_not_ruled_out, "a long, b long")
 
 
-def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """The pairs whose exact sets link. Only texts of sets in a pair are read further."""
+def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs whose exact sets link, and the texts (``node, z``) of all sets in a pair; only
+    those are read further."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     need = written(members.join(ends, "node").select("node", "doc", "th"), "need")
     texts = _maybe_in(rows.select("doc", "th", "text"), need.select("doc"), "doc")
@@ -417,7 +423,90 @@ def _verified(pairs: DataFrame, members: DataFrame, rows: DataFrame, shingle: in
     a = bodies.select(F.col("node").alias("a"), F.col("z").alias("za"))
     b = bodies.select(F.col("node").alias("b"), F.col("z").alias("zb"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "za", "zb")
-    return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges")
+    return written(joined.mapInArrow(lambda x: _linked(x, shingle), "a long, b long"), "edges"), bodies
+
+
+def _block_links(found: np.ndarray, starts: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the sets ``right`` each of the sets ``left`` links with, and the other way round."""
+    n = np.diff(starts)
+    names, token = np.unique(found, return_inverse=True)
+    each = np.repeat(np.arange(len(n)), n)
+    several = np.bincount(token, minlength=len(names)) > 1
+    column = np.cumsum(several) - 1
+    each, token = each[several[token]], column[token[several[token]]]
+    order = np.argsort(token, kind="stable")
+    each, token = each[order], token[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, int(several.sum()), COLUMNS):
+        i, j = np.searchsorted(token, (low, low + COLUMNS))
+        held = np.zeros((len(n), COLUMNS), np.float32)
+        held[each[i:j], token[i:j] - low] = 1
+        both += (held[left] @ held[right].T).astype(np.int64)
+    links = 100 * both >= PERCENT * (n[left][:, None] + n[right] - both)
+    links &= left[:, None] != right
+    return links.sum(1), links.sum(0)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """Links of each set within its pair of blocks, from rows sorted by class and blocks."""
+    tool = zstandard.ZstdDecompressor()
+
+    def answer(group, node, side, z):
+        texts = [np.frombuffer(tool.decompress(x), np.uint8) for x in z]
+        found, n = [], []
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= SLICE_BYTES):
+                size += len(texts[to])
+                to += 1
+            own, starts = shingle_sets(np.concatenate(texts[at:to]), np.cumsum([0, *map(len, texts[at:to])]), shingle)
+            found.append(own)
+            n.append(np.diff(starts))
+            at = to
+        starts = np.concatenate(([0], np.cumsum(np.concatenate(n))))
+        side = np.array(side)
+        if group[1] == group[2]:
+            left = right = np.arange(len(node))
+            links = _block_links(np.concatenate(found), starts, left, right)[0]
+        else:
+            left, right = np.flatnonzero(side == group[1]), np.flatnonzero(side == group[2])
+            links = np.zeros(len(node), np.int64)
+            links[left], links[right] = _block_links(np.concatenate(found), starts, left, right)
+        return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(links, pa.int64())], names=["node", "links"])
+
+    last, held = None, ([], [], [])
+    for batch in batches:
+        for root, low, high, *row in zip(*(batch.column(c).to_pylist() for c in ("root", "low", "high", "node", "block", "z")), strict=True):
+            if last is not None and (root, low, high) != last:
+                yield answer(last, *held)
+                held = ([], [], [])
+            last = (root, low, high)
+            for column, value in zip(held, row, strict=True):
+                column.append(value)
+    if last is not None:
+        yield answer(last, *held)
+
+
+def link_counts(joined: DataFrame, members: DataFrame, bodies: list[DataFrame], shingle: int) -> DataFrame:
+    """``node, n_links``: with how many other sets each set of a class links.
+
+    All pairs of a class of three sets or more are compared, as copies of blocks of sets
+    that meet in a task for each pair of blocks; what leaves a task is a count per set.
+    """
+    sizes = joined.join(members.select("node", "n"), "node").groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("n"))
+    blocks = F.greatest(F.ceil(F.col("sets") / F.lit(LINK_SETS)), F.least(F.col("sets"), F.ceil(F.col("n") / F.lit(LINK_SHINGLES))))
+    classes = joined.join(written(sizes.select("root", "sets", blocks.alias("blocks")), "classes"), "root")
+    two = classes.where("sets = 2").select("node", F.lit(1).cast("long").alias("links"))
+    own = classes.where("sets > 2").select("node", "root", "blocks", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).alias("block"))
+    texts = bodies[0]
+    for more in bodies[1:]:
+        texts = texts.unionByName(more.join(texts.select("node"), "node", "left_anti"))
+    dealt = own.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "block", "z")
+    dealt = dealt.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
+    counted = dealt.mapInArrow(lambda b: _counted(b, shingle), "node long, links long")
+    return written(two.unionByName(counted).groupBy("node").agg(F.sum("links").alias("n_links")), "links")
 
 
 def _dealt(rest: DataFrame, members: DataFrame) -> DataFrame:
@@ -487,12 +576,12 @@ def bands_of(rows: DataFrame, top: int, shingle: int) -> dict[int, Band]:
     return bands
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", with_links: bool = True) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links, set_id.
 
-    component_id is the smallest id that links reach; n_links counts the other sets that
-    the search linked directly (copies share one set). Links with sets already joined by
-    others are not counted again. Null and empty texts, and texts without words, have no
+    component_id is the smallest id that links reach; n_links counts all
+    other sets that the document's set links with directly (copies share one set); without
+    ``with_links`` it is null and costs nothing. Null and empty texts, and texts without words, have no
     shingles and stand alone. A null id stays null and takes the smallest id of its
     class; rows that repeat an id are answered one by one. Other columns are not read.
     """
@@ -516,7 +605,8 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     # first each set against the hub, the least set, of each of its signatures
     first = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     first = written(_near(first, members), "pairs")
-    edges = _verified(first, members, rows, shingle)
+    edges, texts = _verified(first, members, rows, shingle)
+    bodies = [texts]
     joined = written(components(edges), "components")
 
     # then, in signatures that more than two sets have and that still span components, all
@@ -525,29 +615,34 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     for i in range(NEAREST_ROUNDS + 1):
         found, again, left = _open_pairs(left, joined, members, i < NEAREST_ROUNDS)
         pairs = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = None if pairs.isEmpty() else _verified(pairs, members, rows, shingle)
+        more, texts = (None, None) if pairs.isEmpty() else _verified(pairs, members, rows, shingle)
         if more is not None and not more.isEmpty():
             tried, edges = tried.unionByName(pairs), edges.unionByName(more)
+            bodies.append(texts)
             joined = written(components(edges), "components")
         again = written(again, "again")
         if again.isEmpty():
             break
         left = left.join(again, "sig", "left_semi")
 
-    links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    classes = sets.select("id", "node", "n").join(joined, "node", "left").join(links, "node", "left")
+    classes = sets.select("id", "node", "n").join(joined, "node", "left")
+    if with_links:
+        links = link_counts(joined, members, bodies, shingle)
+        classes = classes.join(links, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    else:
+        classes = classes.withColumn("n_links", F.lit(None).cast("long"))
     classes = classes.withColumn("root", F.coalesce("root", "node"))
     smallest = written(classes.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     out = classes.where("n > 0").join(smallest, "root").unionByName(classes.where("n = 0").withColumn("component_id", F.col("id")))
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("node").alias("set_id"),
+        "n_links", F.col("node").alias("set_id"),
     )
 
 
 def keep_one_of_each_class(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The documents whose id is the smallest of their class, all columns; one row per
     class where ids repeat. Rows of null id or without shingles stay."""
-    classes = jaccard_classes(docs, shingle)
+    classes = jaccard_classes(docs, shingle, with_links=False)
     gone = classes.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")

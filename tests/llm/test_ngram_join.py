@@ -79,6 +79,19 @@ def test_nearest_rounds_lose_nothing(spark, monkeypatch):
     assert result(jaccard_classes(frame(spark, texts))) == brute(enumerate(texts))
 
 
+def test_links_are_all_counted(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LINK_SETS", 5)  # classes in one block and in several
+    rng = random.Random(2)
+    base = prose(rng, 200, 10_000).split(" ")
+    texts = [" ".join([*base[:i], f"edit{i}", *base[i + 1 :]]) for i in range(20, 180, 8)] + near_texts(17, 20) + edge_texts(2)
+    texts += texts[:3]  # copies are one set
+    sets = [frozenset(shingles(t)) for t in texts]
+    want = [sum(100 * len(x & y) >= 75 * len(x | y) for y in set(sets) - {x} if y) if x else 0 for x in sets]
+    got = {r.doc_id: r.n_links for r in jaccard_classes(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(want))
+    assert max(want) >= 19 and want.count(1) > 2
+
+
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_large_signatures_are_dealt_into_blocks(spark, monkeypatch, rounds):
     monkeypatch.setattr(ngram_join, "GROUP_ROWS", 4)
