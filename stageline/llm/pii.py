@@ -298,7 +298,7 @@ def written_spans(spans: list[tuple[int, int, int]]) -> str:
 
 
 def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``limit`` labelled windows, chosen by hash among all: half with a span."""
+    """At most ``limit`` different labelled windows, chosen by hash among all: half with a span."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -316,7 +316,7 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> tuple[np.nd
     nothing = F.lit(bytes(WINDOW))
     rows = []
     for some in (F.col("y") != nothing, F.col("y") == nothing):
-        rows += found.where(some).orderBy(F.xxhash64("x"), "x", "y").limit(limit // 2).collect()
+        rows += found.where(some).distinct().orderBy(F.xxhash64("x"), "x", "y").limit(limit // 2).collect()
     x = np.array([list(r["x"]) for r in rows], np.int64).reshape(-1, WINDOW)
     return x, np.array([list(r["y"]) for r in rows], np.int64).reshape(-1, WINDOW)
 

@@ -5,7 +5,7 @@ import re
 import numpy as np
 from cases import clashing, edge_texts, frame, prose
 
-from stageline.llm.pii import WINDOW, Tagger, base_spans, cut, codes, luhn, personal_data, spans_of, tags_of, windows_of
+from stageline.llm.pii import WINDOW, Tagger, base_spans, cut, codes, luhn, personal_data, spans_of, tags_of, training_windows, windows_of
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -101,3 +101,12 @@ def test_personal_data(spark):
             assert r.spans == "" and r.found == []
     assert personal_data(frame(spark, ["no data", None])).where("spans = ''").count() == 2
     assert personal_data(frame(spark, [])).count() == 0
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rng = random.Random(4)
+    texts = [f"copy mail a{i}@b.example end" for i in range(3) for _ in range(400)]
+    texts += [f"{prose(rng, 4)} write to c{i}@d.example now" for i in range(40)]
+    x, y = training_windows(frame(spark, texts).select("text"), 40)
+    rows = [bytes(a.astype(np.uint8)) + bytes(b.astype(np.uint8)) for a, b in zip(x, y, strict=True)]
+    assert len(rows) == len(set(rows)) and (y.sum(1) > 0).sum() == 20
