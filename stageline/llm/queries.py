@@ -5,15 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stageline.llm.conversation_trie import prefix_trie
 from stageline.llm.decontaminate import contamination
 from stageline.llm.exact_dedup import exact_dedup
 from stageline.llm.licenses import license_spans
 from stageline.llm.ngram_join import jaccard_classes
+from stageline.llm.oracle import quality_rules_sql, search_sql, trie_sql
 from stageline.llm.packing import pack_documents
 from stageline.llm.pages import main_text
 from stageline.llm.pii import personal_data
 from stageline.llm.quality import quality_scores
+from stageline.llm.quality_rules import judge
+from stageline.llm.search import search
 from stageline.llm.suffix_dedup import suffix_dedup
 from stageline.llm.token_counts import token_counts
 
@@ -64,11 +69,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(_read(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", F.array_join("failed", "; ").alias("failed"), "kept")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_exact_dedup, op3_quality, op4_ngram_join, op5_license_scan,
         op6_token_counts, op7_main_text, op8_decontamination, op9_personal_data, op10_packing,
+        op11_conversation_trie, op12_quality_rules, op13_lexical_search,
     )
 }
 
@@ -86,4 +106,7 @@ ORACLE: dict[str, str] = {
                sha256(body) as text_sha256
         from t
     """,
+    "op11_conversation_trie": trie_sql(),
+    "op12_quality_rules": quality_rules_sql(),
+    "op13_lexical_search": search_sql(),
 }

@@ -1,0 +1,124 @@
+"""Ranked search against plain scoring of every document."""
+
+import math
+import random
+import re
+
+import pytest
+from cases import clashing, edge_texts, frame, prose
+from pyspark.sql import functions as F
+
+from stageline.llm import search as module
+from stageline.llm.search import Plan, search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+OUT = ["item_id", "rank", "doc_id", "score"]
+
+
+def terms(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in TERM.findall(text or "")]
+
+
+def brute(docs, items, k=10):
+    """docs, items: (id, text) rows; ids may be null or repeat."""
+    held = [(i, terms(t)) for i, t in docs]
+    held = [(i, t) for i, t in held if t]
+    n_docs, n_terms = len(held), sum(len(t) for _, t in held)
+    df = {}
+    for _, t in held:
+        for w in set(t):
+            df[w] = df.get(w, 0) + 1
+    out = []
+    for item, text in items:
+        scored = []
+        for doc, t in held:
+            m, score = 100 - 90 + 90 * len(t) * n_docs // n_terms, 0
+            for w in set(terms(text)) & set(t):
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1)))
+                tf = t.count(w)
+                score += weight * (1000000000 * tf // (1000 * tf + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0))
+        for rank, (score, none, doc) in enumerate(sorted(scored)[:k], 1):
+            out.append((item, rank, None if none else doc, -score))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(map(tuple, df.select(*OUT).collect()), key=repr)
+
+
+def items_frame(spark, items):
+    return spark.createDataFrame(items, "item_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    texts = edge_texts() + [prose(rng, rng.randrange(3, 90)) for _ in range(60)] + ["Zebra's zebra", "zebra-zebra"] * 8
+    items = [(i, prose(rng, 30)) for i in range(8)]
+    return texts, items + [(20, None), (21, ""), (22, " ,.!"), (23, "zebra ZEBRA"), (24, "nowhere atall"), (25, texts[9]), (25, "zebra")]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_against_every_document(spark, corpus, small, monkeypatch):
+    """Also with many small shards, and with a block per few items."""
+    texts, items = corpus
+    bounds = {}
+    if small:
+        monkeypatch.setattr(module, "SHARD_DOCS", 7)
+        bounds = {"block_items": 4, "block_terms": 60, "owners": 3}
+    got = search(clashing(frame(spark, texts).repartition(3)), clashing(items_frame(spark, items)), **bounds)
+    assert got.columns == OUT and dict(got.dtypes)["rank"] == "int" and dict(got.dtypes)["score"] == "bigint"
+    assert found(got) == brute(list(enumerate(texts)), items)
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_other_lengths_and_one_owner(spark, corpus, k):
+    texts, items = corpus
+    assert found(search(frame(spark, texts), items_frame(spark, items), k=k, owners=1)) == brute(list(enumerate(texts)), items, k)
+
+
+def test_ties_null_and_repeated_ids(spark):
+    rows = [(5, "a b"), (None, "a b"), (3, "a b"), (3, "a b"), (None, None), (9, "c c c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, "a"), (None, "b"), (1, "a")]
+    assert found(search(docs, items_frame(spark, items))) == brute(rows, items)
+
+
+def test_empty_tables(spark, corpus):
+    docs, items = frame(spark, corpus[0]), items_frame(spark, corpus[1])
+    for a, b in ((docs.limit(0), items), (docs, items.limit(0)), (frame(spark, [None, ""]), items)):
+        out = search(a, b)
+        assert out.columns == OUT and out.count() == 0
+
+
+def test_owners_hold_like_shares_rare_terms_first():
+    import numpy as np
+
+    df = np.array([1000, 1, 2, 500, 3, 900, 0])
+    plan = Plan.of(df, 2000, 9000, 3)
+    assert plan.owner[1] == 0 and plan.owner[0] == 2
+    assert all(a <= b for a, b in zip(plan.owner[np.argsort(df)][:-1], plan.owner[np.argsort(df)][1:], strict=True))
+    assert plan.norms(np.array([10])).tolist() == [10 + 90 * 10 * 2000 // 9000]
+    big = Plan(np.zeros(1, np.int64), np.zeros(1, np.int32), 10**11, 10**14)  # beyond 64 bits in between
+    assert big.norms(np.array([10**9])).tolist() == [10 + 90 * 10**9 * 10**11 // 10**14]
+
+
+def test_accumulators_are_let_go(spark):
+    """What a bundle carries shrinks as owners are left behind; results stay whole."""
+    rng = random.Random(5)
+    texts = ["common " * 3 + " ".join(rng.choice(["one", "two", "three", "four"]) for _ in range(6)) for _ in range(400)]
+    texts += [f"rare{i} common one two" for i in range(12)] * 2
+    items = [(1, "common one two " + " ".join(f"rare{i}" for i in range(12)))]
+    assert found(search(frame(spark, texts), items_frame(spark, items))) == brute(list(enumerate(texts)), items)
+    last = spark.read.parquet(_newest(spark, "search-bundles"))
+    carried = last.agg(F.sum(F.size("docs"))).first()[0]
+    assert carried < len(texts) / 4
+
+
+def _newest(spark, purpose):
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "llm"
+    return str(max(root.glob(f"{purpose}-*"), key=lambda p: p.stat().st_mtime))
