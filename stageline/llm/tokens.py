@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +21,10 @@ from stageline.llm.common import slices, text_rows
 #: how byte-level BPE splits a text before it merges (fixed value of the public vocabulary)
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: white space in a row that is left to the vocabulary's own library: the split above goes
+#: back over such a run place by place, and runs out of stack at about a million
+LONG_SPACE = 50_000
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -59,8 +65,8 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
     """Text to ids, without special tokens added; those written in a text keep their own ids.
 
     A plain byte-level BPE is merged by rank, which gives the same ids several times
-    faster; any other vocabulary goes through its own library. Kept for later tasks of
-    the same worker.
+    faster; any other vocabulary, and any text with a very long run of white space, goes
+    through its own library. Kept for later tasks of the same worker.
     """
     name = "stageline-" + hashlib.sha256(vocabulary.encode()).hexdigest()
     known = tiktoken.registry.ENCODINGS
@@ -79,7 +85,24 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
     if isinstance(held, Tokenizer):
         return lambda text: held.encode(text, add_special_tokens=False).ids
     special = held.special_tokens_set
-    return lambda text: held.encode(text, allowed_special="all") if any(s in text for s in special) else held.encode_ordinary(text)
+
+    def encode(text: str) -> list[int]:
+        if _has_long_space(text):
+            return _library(vocabulary).encode(text, add_special_tokens=False).ids
+        if any(s in text for s in special):
+            return held.encode(text, allowed_special="all")
+        return held.encode_ordinary(text)
+
+    return encode
+
+
+@functools.lru_cache(maxsize=2)
+def _library(vocabulary: str) -> Tokenizer:
+    return Tokenizer.from_str(vocabulary)
+
+
+def _has_long_space(text: str) -> bool:
+    return len(text) > LONG_SPACE and any(m.end() - m.start() > LONG_SPACE for m in re.finditer(r"\s+", text))
 
 
 def encoded(batch: pa.RecordBatch, encode: Callable[[str], list[int]]) -> Iterator[tuple[int, np.ndarray]]:

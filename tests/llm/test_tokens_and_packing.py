@@ -26,6 +26,26 @@ def test_fast_encoder_gives_the_same_ids():
     assert [t for t in texts if fast(t) != ids(t)] == []
 
 
+def test_very_long_white_space():
+    """Runs over which the fast split would go back place by place give the library's ids."""
+    fast = encoder(read_vocabulary())
+    n = 2_000_000
+    texts = [" " * n, "\n" * n, " \n" * (n // 2), "a " + "\t" * n + " b<|endoftext|>", ("word" + " " * 60_000) * 3 + "\u3000" * 60_000]
+    for text in texts:
+        assert fast(text) == ids(text)
+    assert fast("x" * 300_000) == ids("x" * 300_000)
+
+
+def test_long_white_space_in_documents(spark):
+    texts = ["a b", " " * 1_500_000, "x" + "\n" * 1_200_000 + "y", None]
+    rows = pack_documents(frame(spark, texts)).collect()
+    assert {r.doc_id: sum(x.length for x in rows if x.doc_id == r.doc_id) for r in rows} == {
+        i: len(ids(t)) + 1 for i, t in enumerate(texts)
+    }
+    counts = token_counts(frame(spark, texts)).collect()
+    assert counts
+
+
 def test_other_vocabularies_go_through_their_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     other = Tokenizer.from_file(path)
