@@ -422,3 +422,25 @@ ORACLE: dict[str, str] = {
         select job_name, arg_max(body, seq) as last_status, max(seq) as last_seq
         from messages group by job_name""",
 }
+
+# the same messages over several micro-batches
+ORACLE |= {
+    f"{name}_many_files": ORACLE[twin]
+    for name, twin in {
+        "stream_loads": "stream_loads",
+        "stream_details": "stream_details_stamped",
+        "stream_until_sentinel": "stream_until_sentinel",
+        "stream_latest_status": "stream_latest_status",
+    }.items()
+}
+ORACLE["stream_until_sentinel_any_order"] = ORACLE["stream_until_sentinel"]
+ORACLE["stream_run_timeouts"] = _with(_MESSAGES) + """
+        select job_name, job_instance, started,
+          case when ended <= due then ended else due end as ended,
+          case when ended <= due then status else 'TIMEOUT' end as outcome
+        from (select job_name, job_instance, min(sent) as started, min(sent) + interval 180 minute as due,
+                min(sent) filter (where body in ('purchase', 'error')) as ended,
+                arg_min(case body when 'purchase' then 'SUCCEEDED' else 'FAILED' end, (sent, seq))
+                  filter (where body in ('purchase', 'error')) as status
+              from messages group by job_name, job_instance)
+        where epoch_ms(due) < (select epoch_ms(max(sent)) from messages)"""

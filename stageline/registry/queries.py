@@ -17,7 +17,7 @@ from stageline.registry import fixtures as fx
 from stageline.session import shared_folder
 from stageline.sinks import stage, tables
 from stageline.sources import control, files
-from stageline.streaming import loads, run_states
+from stageline.streaming import loads, run_states, run_timeouts
 from stageline.streaming.messages import read_messages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -582,29 +582,56 @@ def _message_folder(df: DataFrame, folder: str) -> str:
     return f"{folder}/messages"
 
 
-@query
-def stream_loads(spark, sf_dir):
-    """Messages refresh the partitions they name; report and rows of the stage."""
-    folder = shared_folder(spark, "stream_loads")
+#: parts in which messages are sent one after another, and files of each
+PARTS, PART_FILES = 3, 4
+
+
+def _message_parts(df: DataFrame, folder: str, backwards: bool = False) -> str:
+    """All messages in parts by their number, sent in this order: a part is a micro-batch
+    of several files where ``files_per_trigger`` is ``PART_FILES``."""
+    first, last = df.agg(F.min("seq"), F.max("seq")).first()
+    cuts = [first + (last + 1 - first) * i // PARTS for i in range(PARTS + 1)]
+    for low, high in sorted(zip(cuts[:-1], cuts[1:], strict=True), reverse=backwards):
+        part = df.where((F.col("seq") >= low) & (F.col("seq") < high))
+        part.repartition(PART_FILES).write.mode("append").parquet(f"{folder}/messages")
+    return f"{folder}/messages"
+
+
+def _partition_loads(spark, sf_dir, purpose, send, **options):
+    folder = shared_folder(spark, purpose)
     source = fx.table(spark, sf_dir, "events").withColumnRenamed("event_type", "table_name")
     tables.write_table(source, f"{folder}/source", partition_by=["table_name"])
-    inbox = _message_folder(fx.messages(spark, sf_dir), folder)
+    inbox = send(fx.messages(spark, sf_dir), folder)
     loads.run_partition_loads(
-        read_messages(spark, inbox), fx.EVENT_TYPES, f"{folder}/source", f"{folder}/stage", folder
+        read_messages(spark, inbox, **options), fx.EVENT_TYPES, f"{folder}/source", f"{folder}/stage", folder
     ).awaitTermination()
     staged = spark.read.parquet(f"{folder}/stage").groupBy("table_name")
     rows = staged.agg(F.count(F.lit(1)).alias("n_rows"))
     return loads.load_report(spark, folder).join(rows, "table_name")
 
 
-def _run_table_loads(spark, sf_dir, purpose):
+@query
+def stream_loads(spark, sf_dir):
+    """Messages refresh the partitions they name; report and rows of the stage."""
+    return _partition_loads(spark, sf_dir, "stream_loads", _message_folder)
+
+
+@query
+def stream_loads_many_files(spark, sf_dir):
+    """The same messages over several micro-batches of several files."""
+    return _partition_loads(
+        spark, sf_dir, "stream_loads_many_files", _message_parts, files_per_trigger=PART_FILES
+    )
+
+
+def _run_table_loads(spark, sf_dir, purpose, send=_message_folder, **options):
     folder = shared_folder(spark, purpose)
     sources = {t: f"{sf_dir}/{t}.parquet" for t in fx.TABLE_OF_EVENT.values()}
-    inbox = _message_folder(fx.table_messages(spark, sf_dir), folder)
+    inbox = send(fx.table_messages(spark, sf_dir), folder)
     views, details_view = _view(folder, "{}"), _view(folder, "job_details")
     stage.refresh_stage(fx.message_details(spark, sf_dir), details_view, f"{folder}/details")
     loads.run_table_loads(
-        read_messages(spark, inbox), sources, views, folder, details_view, _stamp()
+        read_messages(spark, inbox, **options), sources, views, folder, details_view, _stamp()
     ).awaitTermination()
     return folder, {t: spark.table(views.format(t)) for t in sources}, spark.table(details_view)
 
@@ -627,6 +654,14 @@ def stream_details_stamped(spark, sf_dir):
     return _run_table_loads(spark, sf_dir, "stream_details_stamped")[2]
 
 
+@query
+def stream_details_many_files(spark, sf_dir):
+    """The same over several micro-batches: their stamps are merged on read."""
+    return _run_table_loads(
+        spark, sf_dir, "stream_details_many_files", _message_parts, files_per_trigger=PART_FILES
+    )[2]
+
+
 @query
 def stream_retention(spark, sf_dir):
     folder = shared_folder(spark, "stream_retention")
@@ -641,17 +676,30 @@ def message_retention(spark, sf_dir):
     return end_mark.not_expired(fx.messages(spark, sf_dir)).select("seq", "job_name", "body")
 
 
-@query
-def stream_until_sentinel(spark, sf_dir):
-    """Batches that got their end mark: messages taken, messages sent, complete or not."""
-    folder = shared_folder(spark, "stream_until_sentinel")
+def _until_sentinel(spark, sf_dir, purpose, send, first=None, **options):
+    folder = shared_folder(spark, purpose)
     messages = fx.messages(spark, sf_dir)
-    inbox = _message_folder(messages, folder)
-    loads.run_until_end_mark(read_messages(spark, inbox), folder, "signup").awaitTermination()
+    inbox = send(messages, folder)
+    stream = read_messages(spark, inbox, **options)
+    loads.run_until_end_mark(stream, folder, "signup", first=first).awaitTermination()
     sent = messages.where(F.col("body") != "signup").groupBy(*schemas.INSTANCE_KEY)
     return loads.batch_report(spark, folder, sent.agg(F.count(F.lit(1)).alias("expected")))
 
 
+@query
+def stream_until_sentinel(spark, sf_dir):
+    """Batches that got their end mark: messages taken, messages sent, complete or not."""
+    return _until_sentinel(spark, sf_dir, "stream_until_sentinel", _message_folder)
+
+
+@query
+def stream_until_sentinel_many_files(spark, sf_dir):
+    """The same over several micro-batches: marks are known from those before."""
+    return _until_sentinel(
+        spark, sf_dir, "stream_until_sentinel_many_files", _message_parts, files_per_trigger=PART_FILES
+    )
+
+
 @query
 def messages_until_sentinel(spark, sf_dir):
     """The messages themselves, on a frame, per user. The marks are stored first, so
@@ -664,10 +712,45 @@ def messages_until_sentinel(spark, sf_dir):
 
 
 @query
-def stream_latest_status(spark, sf_dir):
-    folder = shared_folder(spark, "stream_latest_status")
-    inbox = _message_folder(fx.messages(spark, sf_dir), folder)
+def stream_until_sentinel_any_order(spark, sf_dir):
+    """The same from files in the wrong order, one a micro-batch: order is restored by number."""
+    first = fx.messages(spark, sf_dir).agg(F.min("seq")).first()[0]
+    return _until_sentinel(
+        spark, sf_dir, "stream_until_sentinel_any_order",
+        lambda df, folder: _message_parts(df, folder, backwards=True), first, files_per_trigger=1,
+    )
+
+
+def _latest_status(spark, sf_dir, purpose, send, **options):
+    folder = shared_folder(spark, purpose)
+    inbox = send(fx.messages(spark, sf_dir), folder)
     run_states.run_state_log(
-        read_messages(spark, inbox), folder, ["job_name"], state="body"
+        read_messages(spark, inbox, **options), folder, ["job_name"], state="body"
     ).awaitTermination()
     return run_states.read_state_log(spark, folder, "job_name string")
+
+
+@query
+def stream_latest_status(spark, sf_dir):
+    return _latest_status(spark, sf_dir, "stream_latest_status", _message_folder)
+
+
+@query
+def stream_latest_status_many_files(spark, sf_dir):
+    """The same over many micro-batches, one a file; the log of changes is folded."""
+    return _latest_status(
+        spark, sf_dir, "stream_latest_status_many_files", _message_parts, files_per_trigger=1
+    )
+
+
+@query
+def stream_run_timeouts(spark, sf_dir):
+    """How runs ended: by their first final state, or after 180 minutes without one."""
+    folder = shared_folder(spark, "stream_run_timeouts")
+    states = {"purchase": "SUCCEEDED", "error": "FAILED"}
+    status = F.coalesce(*[F.when(F.col("body") == b, s) for b, s in states.items()], F.lit("RUNNING"))
+    reports = fx.messages(spark, sf_dir).withColumn("status", status).drop("body")
+    inbox = _message_folder(reports, folder)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in reports.schema)
+    run_timeouts.run_timeouts(read_messages(spark, inbox, types), folder).awaitTermination()
+    return run_timeouts.read_outcomes(spark, folder)

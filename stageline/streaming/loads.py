@@ -6,7 +6,7 @@ that a later micro-batch or a report can read it, and a repeated one replaces it
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,12 @@ from stageline import schemas
 from stageline.functions.text import strip
 from stageline.operators.end_mark import before_end_mark, end_marks, not_expired
 from stageline.operators.updates import stamp_details
-from stageline.sinks.stage import refresh_stage
+from stageline.sinks.stage import change_stage, open_stage, refresh_stage
 from stageline.sinks.tables import in_flight, overwrite_partitions
 from stageline.sources.files import read_partitions
+from stageline.streaming.keyed_state import read_buckets, update_buckets
 from stageline.streaming.messages import drain, keep_state, read_batches, with_state, write_batch
+from stageline.streaming.order import in_order
 
 BATCH = schemas.INSTANCE_KEY
 LOADS = "job_name string, job_instance int, table_name string, n_messages bigint, last_seq bigint"
@@ -42,15 +44,21 @@ def before_known_marks(
 ) -> DataFrame:
     """Messages of a micro-batch ahead of the end mark of their batch, if it is known.
 
-    Messages come in order, as from a FIFO queue: none that precedes a mark comes
-    in a later micro-batch than the mark.
+    Messages come in order, as from a FIFO queue or from ``order.in_order``: none that
+    precedes a mark comes in a later micro-batch than the mark. Known marks are kept in hash buckets: a
+    micro-batch reads the buckets of its own batches, and writes those of its new marks.
     """
     spark = messages.sparkSession
+    folder = f"{root}/known_marks"
     write_batch(end_marks(messages, strip(F.col("body")) == mark), f"{root}/marks", batch_id)
     new = spark.read.schema(MARKS).parquet(f"{root}/marks/batch_id={batch_id}")
-    known = with_state(new, f"{root}/known_marks", batch_id, MARKS)
-    marks = known.groupBy(*BATCH).agg(F.min("stop_seq").alias("stop_seq"))
-    return before_end_mark(messages, keep_state(marks, f"{root}/known_marks", batch_id, MARKS), keep_open=True)
+    update_buckets(new, folder, batch_id, BATCH, MARKS, _first_marks)
+    marks = read_buckets(spark, folder, MARKS, BATCH, messages)
+    return before_end_mark(messages, marks, keep_open=True)
+
+
+def _first_marks(marks: DataFrame) -> DataFrame:
+    return marks.groupBy(*BATCH).agg(F.min("stop_seq").alias("stop_seq"))
 
 
 def not_expired_so_far(
@@ -87,6 +95,10 @@ def _take(messages, batch_id, root, mark, seconds) -> DataFrame:
     return spark.read.schema(LOADS).parquet(f"{root}/loads/batch_id={batch_id}")
 
 
+def _taken_by(handle: Callable[[DataFrame, int], None], root: str, first: int | None):
+    return handle if first is None else in_order(handle, root, first)
+
+
 def run_table_loads(
     stream: DataFrame,
     sources: Mapping[str, str],
@@ -97,6 +109,7 @@ def run_table_loads(
     mark: str | None = schemas.END_MARK,
     seconds: int | None = None,
     every: str | None = None,
+    first: int | None = None,
 ) -> StreamingQuery:
     """Refresh the stage table of every table that is named, then stamp its details.
 
@@ -104,8 +117,17 @@ def run_table_loads(
     ``stage_view`` is the view name with ``{}`` for the table. Messages after the
     end mark of their batch, or older than ``seconds``, load nothing. Names that have
     no source load nothing either; ``rejected_report`` gives them. What reaches the
-    driver is at most one row per entry of ``sources``.
+    driver is at most one row per entry of ``sources``. Stamps are written as keyed changes
+    of the details table at ``root/details``, so that what a micro-batch writes follows
+    its messages. A new session goes on where the last one ended: the stage tables that
+    were loaded before are opened from their commit logs. Files in any order are taken in
+    that of ``seq`` where ``first``, the number of the first message, is given.
     """
+    details = f"{root}/details"
+    for table in sources:
+        open_stage(stream.sparkSession, stage_view.format(table), f"{root}/{table}")
+    if details_view and open_stage(stream.sparkSession, details_view, details) is None:
+        refresh_stage(stream.sparkSession.table(details_view), details_view, details)
 
     def handle(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
@@ -116,13 +138,16 @@ def run_table_loads(
                 spark.read.parquet(sources[table]), stage_view.format(table), f"{root}/{table}"
             )
 
-        in_flight([load(t) for t in _known_names(named, sources, root, batch_id)], spark)
-        if details_view:
+        names = _known_names(named, sources, root, batch_id)
+        in_flight([load(t) for t in names], spark)
+        if details_view and names:
             loaded = named.where(_known(sources))
-            stamped = stamp_details(spark.table(details_view), loaded, as_of)
-            refresh_stage(stamped, details_view, f"{root}/details")
+            kind = spark.table(details_view).schema["last_run_timestamp"].dataType
+            keys = loaded.select(*schemas.DETAIL_KEY).distinct()
+            keys = keys.withColumn("last_run_timestamp", F.lit(None).cast(kind))
+            change_stage(stamp_details(keys, loaded, as_of), details_view, details, schemas.DETAIL_KEY)
 
-    return drain(stream, handle, f"{root}/checkpoint", every=every)
+    return drain(stream, _taken_by(handle, root, first), f"{root}/checkpoint", every=every)
 
 
 def run_partition_loads(
@@ -134,6 +159,7 @@ def run_partition_loads(
     mark: str | None = schemas.END_MARK,
     seconds: int | None = None,
     every: str | None = None,
+    first: int | None = None,
 ) -> StreamingQuery:
     """Like ``run_table_loads`` for ``tables`` of one schema kept in one dataset.
 
@@ -149,7 +175,7 @@ def run_partition_loads(
             rows = read_partitions(messages.sparkSession, source, F.col("table_name").isin(names))
             overwrite_partitions(rows, stage, ["table_name"])
 
-    return drain(stream, handle, f"{root}/checkpoint", every=every)
+    return drain(stream, _taken_by(handle, root, first), f"{root}/checkpoint", every=every)
 
 
 def load_report(spark: SparkSession, root: str) -> DataFrame:
@@ -186,14 +212,18 @@ def batch_report(spark: SparkSession, root: str, expected: DataFrame | None = No
 
 
 def run_until_end_mark(
-    stream: DataFrame, root: str, mark: str = schemas.END_MARK, every: str | None = None
+    stream: DataFrame,
+    root: str,
+    mark: str = schemas.END_MARK,
+    every: str | None = None,
+    first: int | None = None,
 ) -> StreamingQuery:
     """Take the messages of each batch up to its end mark, for ``batch_report``."""
 
     def handle(messages: DataFrame, batch_id: int) -> None:
         _take(messages, batch_id, root, mark, None)
 
-    return drain(stream, handle, f"{root}/checkpoint", every=every)
+    return drain(stream, _taken_by(handle, root, first), f"{root}/checkpoint", every=every)
 
 
 def run_retention(

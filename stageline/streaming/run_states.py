@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stageline import schemas
-from stageline.streaming.messages import drain, read_batches, write_batch
+from stageline.streaming.keyed_state import append_run, read_runs
+from stageline.streaming.messages import drain
 
 KEY_TYPES = "job_name string, job_instance int"
 
@@ -34,11 +35,13 @@ def run_state_log(
     """Keep the last state per key as stream state, and log the keys that changed.
 
     States are combined per task before the shuffle, so a run that reports much
-    more than the others costs one row per task. Only changed keys are written.
+    more than the others costs one row per task. Only changed keys are written, and the
+    log is folded by levels, so that reading it does not grow with the micro-batches.
     """
 
     def handle(changed: DataFrame, batch_id: int) -> None:
-        write_batch(changed, f"{root}/changes", batch_id)
+        types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in changed.schema)
+        append_run(changed, f"{root}/changes", batch_id, lambda log: _last(log, on), types)
 
     states = latest_state(stream, on, state=state)
     return drain(states, handle, f"{root}/checkpoint", "update", every)
@@ -46,6 +49,9 @@ def run_state_log(
 
 def read_state_log(spark: SparkSession, root: str, key_types: str = KEY_TYPES) -> DataFrame:
     """The last state per key from the log, ready for ``mark_ended``."""
-    log = read_batches(spark, f"{root}/changes", f"{key_types}, last_status string, last_seq bigint")
-    on = [c for c in log.columns if c not in ("last_status", "last_seq", "batch_id")]
+    log = read_runs(spark, f"{root}/changes", f"{key_types}, last_status string, last_seq bigint")
+    return _last(log, [c for c in log.columns if c not in ("last_status", "last_seq")])
+
+
+def _last(log: DataFrame, on: list[str]) -> DataFrame:
     return latest_state(log, on, "last_seq", "last_status")

@@ -1,6 +1,7 @@
 """Staged loads: several micro-batches, restarts, failures, end marks, expiry."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 from stageline.operators.end_mark import not_expired
 from stageline.operators.updates import update_instances
 from stageline.sinks.stage import live_slot, refresh_stage
-from stageline.streaming import loads, run_states
+from stageline.streaming import loads, run_states, run_timeouts
 from stageline.streaming.messages import MESSAGE_SCHEMA, read_messages
+from stageline.streaming.order import next_missing
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -142,6 +144,40 @@ def test_end_mark(spark, setting, files_per_trigger):
     assert batches(spark, f"{root}/loads") == ([0, 1] if files_per_trigger else [0])
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_order_is_restored_across_files(spark, setting, seed):
+    """Files in any order, one a micro-batch, some twice: as if all had come in order."""
+    run, inbox, root, tag = setting
+    bodies = ["t", "t", "u", " done! ", "u", "t", "done!", "u"]
+    files = [(i + 1, [b]) for i, b in enumerate(bodies)] + [(3, ["u"])]
+    random.Random(seed).shuffle(files)
+    for first, own in files:
+        send(spark, inbox, own, first)
+    run(first=1)
+    assert rows(loads.load_report(spark, root)) == [("t", 2, 2), ("u", 1, 3)]
+    expected = spark.createDataFrame([("j", 1, 3)], "job_name string, job_instance int, expected bigint")
+    assert rows(loads.batch_report(spark, root, expected)) == [("j", 1, 3, 3, True)]
+
+
+def test_a_gap_holds_what_follows(spark, setting):
+    run, inbox, root, _ = setting
+    send(spark, inbox, ["t"], 1)
+    send(spark, inbox, ["u", "t"], 3)
+    run(first=1)
+    assert rows(loads.load_report(spark, root)) == [("t", 1, 1)]
+    send(spark, inbox, ["u"], 2)
+    run(first=1)
+    assert rows(loads.load_report(spark, root)) == [("t", 2, 4), ("u", 2, 3)]
+
+
+def test_next_missing(spark):
+    def missing(numbers, start=1):
+        return next_missing(spark.createDataFrame([(n,) for n in numbers], "seq long"), start)
+
+    assert [missing(x) for x in ([], [1], [2, 3], [3, 1, 2, 2], [1, 2, 4, 5], [0, 1, 2])] == [1, 2, 1, 4, 3, 3]
+    assert missing([5, 6, 8], 5) == 7
+
+
 def test_batch_with_only_a_mark(spark, setting):
     run, inbox, root, _ = setting
     send(spark, inbox, ["done!"], 1)
@@ -234,3 +270,29 @@ def test_latest_state(spark, shared):
         ("a", "r1", "SUCCEEDED"),
         ("c", "r2", "UNKNOWN"),
     ]
+
+
+def test_runs_end_by_their_timers(spark, shared):
+    """Final in time, final too late, none at all, still open; a late report changes nothing."""
+    schema = "seq long, job_name string, job_instance int, status string, sent timestamp_ntz"
+
+    def at(minutes):
+        return START + datetime.timedelta(minutes=minutes)
+
+    def send_states(reports):
+        rows = [(i, job, 1, status, at(m)) for i, (job, status, m) in enumerate(reports)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{shared}/inbox")
+
+    def run():
+        stream = read_messages(spark, f"{shared}/inbox", schema, files_per_trigger=1)
+        run_timeouts.run_timeouts(stream, shared, minutes=60).awaitTermination()
+        return {r.job_name: (r.ended, r.outcome) for r in run_timeouts.read_outcomes(spark, shared).collect()}
+
+    send_states([("ok", "STARTING", 0), ("ok", "FAILED", 20), ("ok", "SUCCEEDED", 10), ("slow", "RUNNING", 5), ("hung", "RUNNING", 8)])
+    assert run() == {}
+    send_states([("slow", "SUCCEEDED", 70), ("open", "RUNNING", 100)])
+    want = {"ok": (at(10), "SUCCEEDED"), "slow": (at(65), "TIMEOUT"), "hung": (at(68), "TIMEOUT")}
+    assert run() == want
+    send_states([("hung", "SUCCEEDED", 101), ("open", "SUCCEEDED", 110), ("new", "RUNNING", 200)])
+    assert run() == want | {"open": (at(110), "SUCCEEDED")}
+    assert run() == want | {"open": (at(110), "SUCCEEDED")}

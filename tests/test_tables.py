@@ -10,7 +10,14 @@ from stageline.operators.end_mark import not_expired
 from stageline.registry import fixtures as fx
 from stageline.session import shared_folder
 from stageline.sinks.stage import live_slot, refresh_stage, truncate_stage
-from stageline.sinks.tables import convert_table, convert_tables, load_increment, overwrite_partitions, write_table
+from stageline.sinks.tables import (
+    _in_partitions,
+    convert_table,
+    convert_tables,
+    load_increment,
+    overwrite_partitions,
+    write_table,
+)
 from stageline.sources import control
 from stageline.sources.files import increment, read_csv, read_jdbc, read_listing, read_partitions
 
@@ -137,6 +144,62 @@ def test_increments_keep_the_rest_of_a_partition(spark, shared):
     assert sorted(r["id"] for r in spark.read.parquet(shared).collect()) == [*(i for i in range(12) if i != 8), 99]
 
 
+def test_each_table_has_its_csv_options(spark, shared):
+    """A quoted table with line breaks in its fields, one with another separator, a plain one."""
+    files = {
+        "notes": 'k,text\n1,"two\nlines, ""quoted"""\n2,plain\n',
+        "pipes": "k|x\n1|2.5\n",
+        "plain": "k,x\n7,a\n",
+    }
+    for name, text in files.items():
+        spark.createDataFrame([(text[:-1],)], "value string").coalesce(1).write.option("lineSep", "\n").text(f"{shared}/in/{name}")
+    options = {"notes": {"multiLine": True, "escape": '"'}, "pipes": {"sep": "|"}}
+    counts = convert_tables(
+        spark, files, shared + "/in/{}/*.txt", shared + "/out/{}", schemas={"pipes": "k long, x double"}, options=options
+    )
+    assert {r["table_name"]: r["n_rows"] for r in counts.collect()} == {"notes": 2, "pipes": 1, "plain": 1}
+    assert rows(spark.read.parquet(f"{shared}/out/notes")) == [(1, 'two\nlines, "quoted"'), (2, "plain")]
+    assert rows(spark.read.parquet(f"{shared}/out/pipes")) == [(1, 2.5)]
+    assert dict(spark.read.parquet(f"{shared}/out/pipes").dtypes) == {"k": "bigint", "x": "double"}
+    with pytest.raises(ValueError, match="typo"):
+        convert_tables(spark, files, shared + "/in/{}", shared + "/again/{}", options={"typo": {}})
+
+
+def by_id(spark, path):
+    return sorted(r["id"] for r in spark.read.parquet(path).collect())
+
+
+def test_rows_the_source_has_lost_go(spark, shared):
+    """Also where the source has none left in their partition; what is out of bounds stays."""
+    rows = [(i, f"a b/{i % 4}" if i % 4 else None, f"2020-01-{i % 28 + 1:02d}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, p string, day string").withColumn("day", F.to_date("day"))
+    load_increment(df, shared, ["p"], "day")
+    some = df.where("p in ('a b/1', 'a b/2')")
+    load_increment(some, shared, ["p"], "day", "2020-01-02", "2020-01-04")
+    inside = "day >= '2020-01-02' and day < '2020-01-04'"
+    want = df.where(f"not ({inside}) or p in ('a b/1', 'a b/2')")
+    assert by_id(spark, shared) == sorted(r["id"] for r in want.collect())
+    # the whole time: partitions without rows are removed, null and escaped names too
+    load_increment(some, shared, ["p"], "day")
+    assert by_id(spark, shared) == sorted(r["id"] for r in some.collect())
+    assert {r[0] for r in spark.read.parquet(shared).select("p").distinct().collect()} == {"a b/1", "a b/2"}
+    # partitions that the source lists no more are dropped whole
+    load_increment(some, shared, ["p"], "day", "2020-01-01", "2020-01-02", listed=some.where("p = 'a b/2'"))
+    assert by_id(spark, shared) == sorted(r["id"] for r in some.where("p = 'a b/2'").collect())
+
+
+def test_increment_reads_back_touched_partitions_only(spark, shared):
+    df = spark.range(40).select("id", (F.col("id") % 4).alias("p"), (F.col("id") % 2 == 0).alias("even"))
+    load_increment(df.withColumn("day", F.current_date()), shared, ["p"], "day")
+    held = spark.read.schema("id long, even boolean, day date, p long").parquet(shared)
+    touched = spark.createDataFrame([(1, 5)], "p long, _n long")
+    touched.write.parquet(f"{shared}-touched")
+    back = _in_partitions(held, spark.read.parquet(f"{shared}-touched"), ["p"])
+    assert "dynamicpruningexpression(p#" in plan_text(back)
+    assert sorted(r["id"] for r in back.collect()) == list(range(1, 40, 4))
+    assert rows_from_scans(back._jdf.queryExecution().executedPlan()) <= 10 + 1
+
+
 def test_increment_bounds(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     day = orders.select(F.percentile(F.unix_timestamp("o_orderdate"), 0.5)).first()[0]
