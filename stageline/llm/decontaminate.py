@@ -10,6 +10,7 @@ windows around it, and a window counts only if all its words agree.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -243,13 +244,24 @@ def contamination(
     return out.withColumnRenamed("id", "doc_id").withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Documents that hold no window of the benchmark, all columns. Rows stay in place
-    when the benchmark is small enough to send; else the ids that are hit are joined off."""
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_sent: int = MAX_SENT_WINDOWS
+) -> DataFrame:
+    """The documents that hold no window of the benchmark, all columns.
+
+    Each row is judged by its own text, whatever its id: null ids, repeated ids and
+    repeated rows change nothing. A null text has no words and stays. An empty benchmark
+    drops nothing, an empty table gives no rows. Up to ``max_sent`` windows the benchmark
+    goes to the tasks and rows stay in place; beyond, the numbers of the rows that are hit
+    are joined off, with the same result.
+    """
     bench = written(item_windows(benchmark, window), "windows")
-    if bench.count() > MAX_SENT_WINDOWS:
-        hit = contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("__hit"))
-        return docs.join(hit.distinct(), F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    if bench.count() > max_sent:
+        number = "__row_" + uuid.uuid4().hex  # a name that no document has
+        rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+        hit = contamination(rows, benchmark, window, id_col=number, max_sent=max_sent)
+        hit = hit.where("contaminated").select(F.col("doc_id").alias(number))
+        return rows.join(hit, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     probe, table = Probe(bench.toPandas()), alnum_words()
 
     def clean(batches):

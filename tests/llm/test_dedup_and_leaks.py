@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -55,7 +56,6 @@ def test_contamination_empty_sides(spark):
 
 
 def test_clean_documents_stay(spark):
-    import random
 
     rng = random.Random(3)
     texts = [prose(rng, 40) for _ in range(6)]
@@ -65,6 +65,21 @@ def test_clean_documents_stay(spark):
     assert stay.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@pytest.mark.parametrize("max_sent", [0, 10, 1_000_000])
+def test_rows_are_judged_by_their_own_text(spark, max_sent):
+    """Null, repeated and equal ids: a clean row never goes with a hit one, at any size."""
+    rng = random.Random(4)
+    bad, clean = prose(rng, 30), [prose(rng, 30) for _ in range(3)]
+    rows = [(5, bad, "x"), (5, clean[0], "x"), (None, bad, "y"), (None, clean[1], "y"), (7, clean[2], "z"), (7, clean[2], "z"), (8, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bench = spark.createDataFrame([(1, bad), (2, "short one")], "item_id long, text string")
+    stay = drop_contaminated(docs, bench, max_sent=max_sent)
+    assert stay.columns == docs.columns
+    assert sorted(map(tuple, stay.collect()), key=repr) == sorted((r for r in rows if r[1] != bad), key=repr)
+    assert drop_contaminated(docs, bench.limit(0), max_sent=max_sent).count() == len(rows)
+    assert drop_contaminated(docs.limit(0), bench, max_sent=max_sent).count() == 0
+
+
 def brute_dedup(rows):
     groups, out = {}, {}
     for doc, text in rows:
