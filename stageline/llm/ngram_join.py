@@ -585,7 +585,17 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     shingles and stand alone. A null id stays null and takes the smallest id of its
     class; rows that repeat an id are answered one by one. Other columns are not read.
     """
-    rows = _rows(docs, id_col, text_col)
+    classes = _classes(_rows(docs, id_col, text_col), shingle, with_links)
+    smallest = written(classes.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
+    out = classes.where("n > 0").join(smallest, "root").unionByName(classes.where("n = 0").withColumn("component_id", F.col("id")))
+    return out.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+        "n_links", F.col("node").alias("set_id"),
+    )
+
+
+def _classes(rows: DataFrame, shingle: int, with_links: bool) -> DataFrame:
+    """Per row its id, the hash of its text (``th``), its set and the class of it (``root``)."""
     sets = written(rows.mapInArrow(lambda b: _sets(b, shingle), "id long, doc long, th long, node long, n long, bits binary"), "sets")
     largest = sets.agg(F.max("n")).first()[0] or 0
     bands = bands_of(rows, max(largest, 1).bit_length() - 1, shingle) if largest else {}
@@ -625,24 +635,37 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
             break
         left = left.join(again, "sig", "left_semi")
 
-    classes = sets.select("id", "node", "n").join(joined, "node", "left")
+    classes = sets.select("id", "th", "node", "n").join(joined, "node", "left")
     if with_links:
         links = link_counts(joined, members, bodies, shingle)
         classes = classes.join(links, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
     else:
         classes = classes.withColumn("n_links", F.lit(None).cast("long"))
-    classes = classes.withColumn("root", F.coalesce("root", "node"))
-    smallest = written(classes.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
-    out = classes.where("n > 0").join(smallest, "root").unionByName(classes.where("n = 0").withColumn("component_id", F.col("id")))
-    return out.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
-        "n_links", F.col("node").alias("set_id"),
-    )
+    return classes.withColumn("root", F.coalesce("root", "node"))
 
 
 def keep_one_of_each_class(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The documents whose id is the smallest of their class, all columns; one row per
-    class where ids repeat. Rows of null id or without shingles stay."""
-    classes = jaccard_classes(docs, shingle, with_links=False)
-    gone = classes.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One document of each class, all columns: the one of the smallest id.
+
+    Rows are judged by id and text: rows that repeat an id with other texts are other
+    documents, of equal ids in a class that of the smaller text hash stays, and of rows
+    that repeat both one stays. A null id comes after all others. Rows without shingles
+    (null, empty, no words) are in no class and stay, all of them. An empty table gives
+    no rows.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    classes = _classes(_rows(docs, "doc_id", "text"), shingle, with_links=False).where("n > 0")
+    classes = written(classes.groupBy("root", "id", "th").agg(F.count(F.lit(1)).alias("rows")), "class-rows")
+    key = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
+    first = written(classes.groupBy("root").agg(F.min(key).alias("first")), "firsts")
+    judged = classes.join(first, "root").withColumn("stays", key == F.col("first"))
+    mine, hash_ = F.col("doc_id").cast("long"), F.xxhash64(text)
+    same = mine.eqNullSafe(F.col("__id")) & (hash_ == F.col("__th"))
+    named = [F.col("id").alias("__id"), F.col("th").alias("__th")]
+    left = docs.join(written(judged.where("not stays").select(*named), "gone"), same, "left_anti")
+    again = written(judged.where("stays and rows > 1").select(*named), "repeated")
+    if again.isEmpty():
+        return left
+    one = left.join(again, same, "left_semi").select("*", mine.alias("__id"), hash_.alias("__th"))
+    one = one.dropDuplicates(["__id", "__th"]).drop("__id", "__th")
+    return left.join(again, same, "left_anti").unionByName(one)

@@ -164,6 +164,20 @@ def test_ids_empty_table_and_stage(spark):
     assert jaccard_classes(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    """Rows are judged by id and text: other texts of an id stay, repeated rows do not."""
+    a = " ".join(f"w{i}" for i in range(40))
+    b, near = " ".join(f"v{i}" for i in range(40)), a + " tail"
+    rows = [(1, a), (5, near), (5, b), (1, a), (1, a), (None, near + " x"), (None, "lone words of no other row"), (9, None), (9, None), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, keep_one_of_each_class(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (5, b), (None, "lone words of no other row"), (9, None), (9, None)], key=repr)
+    # of equal ids one text stays
+    two = spark.createDataFrame([(3, a), (3, near)], "doc_id long, text string")
+    assert keep_one_of_each_class(two).count() == 1
+    assert keep_one_of_each_class(docs.limit(0)).count() == 0
+
+
 def test_sketch_never_rules_out_a_link():
     rng = np.random.default_rng(1)
     for n in (1, 5, 200, 255, 256, 257, 3000):
