@@ -627,9 +627,9 @@ def _classes(rows: DataFrame, shingle: int, with_links: bool) -> DataFrame:
         pairs = written(found.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more, texts = (None, None) if pairs.isEmpty() else _verified(pairs, members, rows, shingle)
         if more is not None and not more.isEmpty():
-            tried, edges = tried.unionByName(pairs), edges.unionByName(more)
+            tried = tried.unionByName(pairs)
             bodies.append(texts)
-            joined = written(components(edges), "components")
+            joined = _extended(joined, more)
         again = written(again, "again")
         if again.isEmpty():
             break
@@ -644,6 +644,18 @@ def _classes(rows: DataFrame, shingle: int, with_links: bool) -> DataFrame:
     return classes.withColumn("root", F.coalesce("root", "node"))
 
 
+def _extended(joined: DataFrame, more: DataFrame) -> DataFrame:
+    """The components after more edges, which join those that are there: the graph of
+    components is all that is gone through again."""
+    a, b = (joined.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    ends = more.join(a, "a", "left").join(b, "b", "left")
+    top = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    top = written(top, "joins")
+    moved = joined.join(top.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+    fresh = top.join(joined.select("node"), "node", "left_anti")
+    return written(moved.select("node", F.coalesce("up", "root").alias("root")).unionByName(fresh), "components")
+
+
 def keep_one_of_each_class(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each class, all columns: the one of the smallest id.
 

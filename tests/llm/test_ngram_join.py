@@ -178,6 +178,17 @@ def test_one_row_of_each_class_stays(spark):
     assert keep_one_of_each_class(docs.limit(0)).count() == 0
 
 
+def test_components_grow_by_more_edges(spark):
+    def frame(edges):
+        return spark.createDataFrame(edges, "a long, b long")
+
+    first = [(1, 2), (2, 3), (10, 11), (20, 21)]
+    more = [(3, 11), (50, 51), (20, 60), (51, 5), (70, 2)]
+    got = ngram_join._extended(components(frame(first)), frame(more))
+    want = {r.node: r.root for r in components(frame(first + more)).collect()}
+    assert {r.node: r.root for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_sketch_never_rules_out_a_link():
     rng = np.random.default_rng(1)
     for n in (1, 5, 200, 255, 256, 257, 3000):
