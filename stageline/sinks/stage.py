@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from string import ascii_lowercase
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +35,9 @@ def _quoted(names: Sequence[str]) -> str:
     return ", ".join(f"`{n}`" for n in names)
 
 
-def _slot(version: int) -> str:
-    return "ab"[(version - 1) % 2]
+def _folder(version: int) -> str:
+    """Versions share as many folders as stay, so that one folder has one that stays."""
+    return ascii_lowercase[(version - 1) % KEEP]
 
 
 def live_version(spark: SparkSession, view: str) -> int:
@@ -48,7 +50,7 @@ def live_version(spark: SparkSession, view: str) -> int:
 def live_slot(spark: SparkSession, view: str) -> str | None:
     """Which side the view shows, ``a`` and ``b`` by turns; None when there is no view."""
     version = live_version(spark, view)
-    return _slot(version) if version else None
+    return "ba"[version % 2] if version else None
 
 
 def _table_name(view: str, version: int) -> str:
@@ -126,7 +128,7 @@ def refresh_stage(
     """
     spark = df.sparkSession
     version = commits.latest(spark, root)[0] + 1
-    data = f"{_slot(version)}/v{version}-{uuid.uuid4().hex}"
+    data = f"{_folder(version)}/v{version}-{uuid.uuid4().hex}"
     try:
         if buckets:
             write_buckets(df, _table_name(view, version), f"{root}/{data}", buckets, key)
@@ -192,9 +194,9 @@ def drop_leftovers(spark: SparkSession, root: str) -> list[str]:
     named = {c["data"] for c in held}
     changes = {f"{c['data']}.changes/_change={n}" for c in held for n in c["changes"]}
     gone = []
-    for slot in "ab":
-        for name in commits.children(spark, f"{root}/{slot}"):
-            data = f"{slot}/{name}"
+    for folder in ascii_lowercase[:KEEP]:
+        for name in commits.children(spark, f"{root}/{folder}"):
+            data = f"{folder}/{name}"
             if data.removesuffix(".changes") not in named:
                 gone.append(data)
             elif data.endswith(".changes"):

@@ -87,7 +87,7 @@ def test_a_frame_survives_three_refreshes(spark, shared):
     assert [f.count() for f in frames[-KEEP:]] == [3, 4, 5, 6] and KEEP >= 4
     assert live_version(spark, view) == 6 and spark.table(view).count() == 6
     assert commits.versions(spark, shared) == [3, 4, 5, 6]
-    assert sum(len(commits.children(spark, f"{shared}/{s}")) for s in "ab") == KEEP
+    assert sum(len(commits.children(spark, f"{shared}/{s}")) for s in "abcd") == KEEP
 
 
 def test_opened_from_the_log(spark, shared):

@@ -197,7 +197,7 @@ def test_increment_reads_back_touched_partitions_only(spark, shared):
     back = _in_partitions(held, spark.read.parquet(f"{shared}-touched"), ["p"])
     assert "dynamicpruningexpression(p#" in plan_text(back)
     assert sorted(r["id"] for r in back.collect()) == list(range(1, 40, 4))
-    assert rows_from_scans(back._jdf.queryExecution().executedPlan()) <= 10 + 1
+    assert max(rows_from_scans(back._jdf.queryExecution().executedPlan())) == 10  # of 40
 
 
 def test_increment_bounds(spark, sf_dir):
