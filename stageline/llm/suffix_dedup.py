@@ -42,7 +42,7 @@ GRAM = 16
 BUCKET_SUFFIXES = 2_000_000
 #: bytes of blocks that a task refines at a time, cut between buckets
 REFINE_BYTES = 2 << 20
-FIRST_GRAM = 4
+FIRST_GRAM = 8
 LAST_ID = (1 << 63) - 1
 BLOCK = "m long, h long, doc long, th long, start long, n long, again boolean, range boolean"
 SPAN = "doc long, th long, s long, e long"
@@ -122,28 +122,37 @@ def refine(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
 
     A bucket pointer is where a suffix's bucket begins in sorted order. A round sorts the
     members of each open bucket by the pointers ``step`` bytes later, which the rounds
-    before have refined to the same depth; a suffix alone in its bucket is settled.
+    before have refined to the same depth; a suffix alone in its bucket is settled. Only
+    suffixes that some string of ``length`` bytes leads to are sorted: those that start
+    one in the last round, and in each round before also those ``step`` bytes later.
     """
     n = len(data)
     again = np.zeros(n, bool)
     room = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)
-    padded = np.concatenate((data, np.zeros(FIRST_GRAM, np.uint8))).astype(np.int64)
+    depths = [min(FIRST_GRAM, length)]
+    while depths[-1] < length:
+        depths.append(min(2 * depths[-1], length))
+    steps = np.diff(depths, prepend=0).tolist()
+    needs = [room >= length]
+    for step in steps[:0:-1]:
+        need = needs[-1].copy()
+        need[step:] |= needs[-1][:-step]
+        needs.append(need)
+    padded = np.concatenate((data, np.zeros(FIRST_GRAM, np.uint8)))
     pointers = np.zeros(n, np.int64)
-    key = np.zeros(n, np.int64)
-    for j in range(FIRST_GRAM):
-        key = key << 8 | padded[j : j + n]
-    open_ = np.arange(n)
-    depth = 0
-    while depth < length:
-        step = min(depth, length - depth) if depth else FIRST_GRAM
-        open_ = open_[room[open_] >= depth + step]
+    settled = np.zeros(n, bool)
+    for depth, step, need in zip(depths, steps, needs[::-1], strict=True):
+        open_ = np.flatnonzero(need & ~settled)
         if not len(open_):
             break
         old = pointers[open_]
-        if depth:
-            key = old * np.int64(n + 1) + pointers[open_ + step]
+        if depth == depths[0]:
+            key = np.zeros(len(open_), np.uint64)
+            for j in range(step):
+                key <<= np.uint64(8)
+                key |= padded[open_ + j]
         else:
-            key = key[open_]
+            key = old * np.int64(n + 1) + pointers[open_ + step]
         order = np.argsort(key, kind="stable")
         ranked, old = key[order], old[order]
         at = np.arange(len(order))
@@ -152,11 +161,9 @@ def refine(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
         bucket = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), at, 0))
         sorted_ = open_[order]
         pointers[sorted_] = old + first - bucket
-        depth += step
-        if depth >= length:
+        if depth == length:
             again[sorted_] = at != first  # the sort is stable: the first of a bucket is its earliest
-        alone = new & np.append(new[1:], True)
-        open_ = np.sort(sorted_[~alone])
+        settled[sorted_[new & np.append(new[1:], True)]] = True
     return again
 
 
@@ -197,7 +204,7 @@ def _refined(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one: they cross the network twice."""
-    tool = zstandard.ZstdCompressor(level=6)
+    tool = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         body = pa.array([tool.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("th"), body], names=["doc", "th", "z"])
