@@ -14,8 +14,10 @@ import hashlib
 import html
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -24,6 +26,8 @@ from pyspark.sql.window import Window
 
 from stageline.llm.common import slices, written
 
+#: equal pairs of lines of two pages up to which they are threaded one by one
+MATCHES = 1 << 18
 #: elements whose text never counts, with all inside (fixed values of HTML)
 HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "select", "button", "textarea", "form"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe"}
@@ -55,6 +59,7 @@ def page_blocks(source: str) -> list[tuple[str, bool]]:
     out: list[tuple[str, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, hidden from here, own from here
+    opened: Counter[str] = Counter()  # names in the stack: an end tag of none is skipped at once
     at, size = 0, len(source)
 
     def flush(own: bool) -> None:
@@ -80,8 +85,9 @@ def page_blocks(source: str) -> list[tuple[str, bool]]:
         if found.group(1):
             if name not in INLINE:
                 flush(own) if not hidden else parts.clear()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i][0] == name:
+                    opened.subtract(s[0] for s in stack[i:])
                     del stack[i:]
                     break
                 if name in INLINE and stack[i][0] not in INLINE:
@@ -94,33 +100,74 @@ def page_blocks(source: str) -> list[tuple[str, bool]]:
             flush(own) if not hidden else parts.clear()
             ends = CLOSES.get(name, set() if name in ("span",) else {"p"})
             while stack and (stack[-1][0] in ends or (stack[-1][0] in INLINE and any(s[0] in ends for s in stack[-4:]))):
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             hidden, own = state()
         if name in VOID:
             continue
         marked = any(MARKS.search(next(filter(None, m), "")) for m in ATTRIBUTE.findall(found.group(3) or ""))
         header = name == "header" and not own
         gone = hidden or name in HIDDEN or name in FURNITURE or header or (marked and name not in ("html", "body", *OWN))
+        if name in RAW:  # all up to its end tag, also after <script .../>
+            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
+            at = end.end() if end else size
+            continue
         if found.group(3).endswith("/") and name not in INLINE:
             continue
         stack.append((name, gone, own or name in OWN))
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
-            at = end.end() if end else size
-            stack.pop()
+        opened[name] += 1
     hidden, own = state()
     if not hidden:
         flush(own)
     return out
 
 
-def shared_lines(mine: list[str], other: list[str]) -> set[int]:
+def shared_lines(mine: list, other: list) -> set[int]:
     """Places in ``mine`` of a longest common subsequence with ``other``.
 
-    Matches are threaded by a longest increasing run of places (Hunt and Szymanski), so
-    that long pages without much in common cost little.
+    Equal ends are taken at once. Matches of the rest are threaded by a longest increasing
+    run of places (Hunt and Szymanski), so that long pages without much in common cost
+    little. Where lines repeat so that there are more than ``MATCHES`` of them, the rest is
+    split in two by lengths from bit rows (Hirschberg), which cost the same however many
+    lines are equal.
     """
-    places: dict[str, list[int]] = {}
+    low, most = 0, min(len(mine), len(other))
+    while low < most and mine[low] == other[low]:
+        low += 1
+    high = 0
+    while high < most - low and mine[-1 - high] == other[-1 - high]:
+        high += 1
+    out = {*range(low), *range(len(mine) - high, len(mine))}
+    mine, other = mine[low : len(mine) - high], other[low : len(other) - high]
+    if not mine or not other:
+        return out
+    if len(mine) > 1:
+        count = Counter(other)
+        if sum(count[line] for line in mine) > MATCHES:
+            half = len(mine) // 2
+            lengths = _prefix_lengths(mine[:half], other) + _prefix_lengths(mine[half:][::-1], other[::-1])[::-1]
+            cut = int(lengths.argmax())
+            parts = (0, shared_lines(mine[:half], other[:cut])), (half, shared_lines(mine[half:], other[cut:]))
+            return out | {low + at + i for at, part in parts for i in part}
+    return out | {low + i for i in _threaded(mine, other)}
+
+
+def _prefix_lengths(mine: list, other: list) -> np.ndarray:
+    """The length of the longest common subsequence with each prefix of ``other``, in bit rows."""
+    places: dict = {}
+    for j, line in enumerate(other):
+        places[line] = places.get(line, 0) | 1 << j
+    full = (1 << len(other)) - 1
+    row = full
+    for line in mine:
+        both = row & places.get(line, 0)
+        row = (row + both | row - both) & full
+    bits = np.frombuffer(row.to_bytes(len(other) // 8 + 1, "little"), np.uint8)
+    grows = 1 - np.unpackbits(bits, bitorder="little")[: len(other)].astype(np.int64)
+    return np.concatenate(([0], np.cumsum(grows)))
+
+
+def _threaded(mine: list, other: list) -> set[int]:
+    places: dict = {}
     for j, line in enumerate(other):
         places.setdefault(line, []).append(j)
     ends: list[int] = []
@@ -182,11 +229,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def template_lines(page: dict, near: dict, far: dict | None) -> list[int]:
     """Places of the lines of ``page`` that are template: those that the nearest page shares.
 
-    Where the shared lines are half of a page's text or more, the two may be copies that
-    differ in little. Then lines of an article stay; of the others those go that the
-    ``far`` neighbour shares too, if there is one.
+    Lines of an article go only at its edges: a sentence that two articles have in common
+    among lines of their own is no template. Where the shared lines are half of a page's
+    text or more, the two may be copies that differ in little. Then lines of an article
+    stay; of the others those go that the ``far`` neighbour shares too, if there is one.
     """
     shared = shared_lines(page["hashes"], near["hashes"])
+    article = [i for i, own in enumerate(page["own"]) if own]
+    edges = {i for side in (article, article[::-1]) for i in itertools.takewhile(shared.__contains__, side)}
+    shared -= set(article) - edges
 
     def copies(own: bool) -> bool:
         both = sum(page["sizes"][i] for i in shared if page["own"][i] == own)
@@ -264,7 +315,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars.
 
     Every page is aligned with the nearest page of its host that has other lines; lines
-    that both share go, in an article too, unless the two are copies that differ in
+    that both share go, at the edges of an article too, unless the two are copies that differ in
     little (``template_lines``). Pages of equal lines are one page there, under the least
     of their paths, and are answered alike. Null html is empty; a null url is a host of
     its own name. Other columns are not read.

@@ -1,7 +1,9 @@
 import random
+import time
 
 from cases import clashing, edge_texts, frame, prose
 
+from stageline.llm import pages
 from stageline.llm.licenses import TEMPLATES, Index, align, license_spans, template_words
 from stageline.llm.pages import main_text, page_blocks, shared_lines
 
@@ -25,6 +27,44 @@ def test_shared_lines_is_a_longest_common_subsequence():
         assert all(a[i] in it for i in found)
 
 
+def test_shared_lines_of_many_equal_lines(monkeypatch):
+    """The split by bit rows gives subsequences of the same length, in seconds for long pages."""
+    rng = random.Random(2)
+    monkeypatch.setattr(pages, "MATCHES", 3)
+    for _ in range(300):
+        a, b = ([rng.choice("abc") for _ in range(rng.randrange(14))] for _ in range(2))
+        found = sorted(shared_lines(a, b))
+        assert len(found) == lcs(a, b)
+        it = iter(b)
+        assert all(a[i] in it for i in found)
+    monkeypatch.undo()
+    start = time.time()
+    cells = ["0"] * 20_000
+    assert len(shared_lines(cells, cells[:-7])) == 19_993
+    assert len(shared_lines(["x", *cells, "y"], ["z", *cells, *cells, "w"])) == 20_000
+    assert len(shared_lines(["0", "1"] * 10_000, ["1", "1", "0"] * 6_000)) >= 12_000
+    assert time.time() - start < 30
+
+
+def test_long_and_broken_markup():
+    start = time.time()
+    assert page_blocks("<div>" * 20_000 + "</p>" * 20_000 + "text") == [("text", False)]
+    assert page_blocks("<i>" * 20_000 + "</b>" * 20_000 + "text") == [("text", False)]
+    assert time.time() - start < 30
+    assert page_blocks('<p>a</p><script src="x"/>var a=1;</script><p>b</p>') == [("a", False), ("b", False)]
+    assert page_blocks("<p>a<style/>p{}</style>b</p>") == [("a", False), ("b", False)]
+
+
+def test_a_sentence_that_articles_share_stays(spark):
+    rng = random.Random(6)
+    own = [[prose(rng, 9) for _ in range(4)] for _ in range(3)]
+    rows = [
+        (f"http://a.example/{i}", "<div>Menu</div><article>" + "".join(f"<p>{t}</p>" for t in [*o[:2], "said before", *o[2:], "Foot"]) + "</article>")
+        for i, o in enumerate(own)
+    ]
+    assert texts_of(spark, rows) == {i: "\n".join([*o[:2], "said before", *o[2:]]) for i, o in enumerate(own)}
+
+
 def test_blocks():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
     <header>Site</header><nav><ul><li><a href=x>Menu</a></ul></nav><!-- c > --><div class="ad">Buy</div>
