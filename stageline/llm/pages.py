@@ -229,14 +229,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def template_lines(page: dict, near: dict, far: dict | None) -> list[int]:
     """Places of the lines of ``page`` that are template: those that the nearest page shares.
 
-    Lines of an article go only at its edges: a sentence that two articles have in common
-    among lines of their own is no template. Where the shared lines are half of a page's
+    Lines of an article go only at its edges, and only if half of the host's articles have
+    them (``common``): a sentence that a few articles have in common is no template. Where the shared lines are half of a page's
     text or more, the two may be copies that differ in little. Then lines of an article
     stay; of the others those go that the ``far`` neighbour shares too, if there is one.
     """
     shared = shared_lines(page["hashes"], near["hashes"])
     article = [i for i, own in enumerate(page["own"]) if own]
-    edges = {i for side in (article, article[::-1]) for i in itertools.takewhile(shared.__contains__, side)}
+    common = set(page["common"] or ())
+    template = {i for i in shared if page["hashes"][i] in common}
+    edges = {i for side in (article, article[::-1]) for i in itertools.takewhile(template.__contains__, side)}
     shared -= set(article) - edges
 
     def copies(own: bool) -> bool:
@@ -301,6 +303,17 @@ def in_ranges(classes: DataFrame) -> DataFrame:
     return ranged.withColumn("lent", F.lit(False)).unionByName(lent)
 
 
+def article_lines(classes: DataFrame) -> DataFrame:
+    """``host, common``: the lines that half of a host's articles have, and two at least. A
+    host has at most twice as many as its articles have lines on average."""
+    lines = F.array_distinct(F.transform(F.filter(F.arrays_zip("hashes", "own"), lambda x: x["own"]), lambda x: x["hashes"]))
+    articles = classes.select("host", lines.alias("lines")).where(F.size("lines") > 0)
+    counts = articles.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    total = articles.groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
+    often = counts.where("n > 1").join(total, "host").where("2 * n >= articles")
+    return written(often.groupBy("host").agg(F.collect_set("line").alias("common")), "article-lines")
+
+
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tool = zstandard.ZstdDecompressor()
     for batch in batches:
@@ -327,7 +340,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     lines = rows.select("host", "path", "html").mapInArrow(_lines, LINES).where(F.size("hashes") > 0)
     same = lines.groupBy("host", "digest")
     classes = same.agg(F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "sizes", "own")))
-    dealt = in_ranges(written(classes, "classes")).repartition("part").sortWithinPartitions("part", "host", F.split("path", "/"), "digest")
+    classes = written(classes, "classes")
+    ranged = in_ranges(classes).join(article_lines(classes), "host", "left")
+    dealt = ranged.repartition("part").sortWithinPartitions("part", "host", F.split("path", "/"), "digest")
     gone = written(dealt.mapInArrow(_gone, "host string, digest long, gone array<int>"), "gone")
     texts = rows.select("page_id", "url", "host", "html").mapInArrow(_texts, "page_id long, url string, host string, digest long, z binary")
     text = texts.join(gone, ["host", "digest"], "left").select("page_id", "url", "z", "gone")
