@@ -53,6 +53,8 @@ MANY = 4
 LINK_SETS, LINK_SHINGLES = 256, 1 << 20
 #: shingles that block pairs are multiplied in at a time
 COLUMNS = 4096
+#: keys of rows to drop that are sent to the tasks, 4 MB; beyond, Spark joins by shuffle
+MAX_SENT_KEYS = 1 << 18
 #: rows of a signature beyond which they are dealt into blocks, each of about half as many
 GROUP_ROWS = 4096
 #: sets link only if their sizes lie in the same or in neighbouring powers of this (> 4/3)
@@ -656,6 +658,11 @@ def _extended(joined: DataFrame, more: DataFrame) -> DataFrame:
     return written(moved.select("node", F.coalesce("up", "root").alias("root")).unionByName(fresh), "components")
 
 
+def _sent(keys: DataFrame) -> DataFrame:
+    """Stored keys, marked to be sent to all tasks where there are few enough (16 bytes each)."""
+    return F.broadcast(keys) if keys.count() <= MAX_SENT_KEYS else keys
+
+
 def keep_one_of_each_class(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each class, all columns: the one of the smallest id.
 
@@ -674,10 +681,12 @@ def keep_one_of_each_class(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame
     mine, hash_ = F.col("doc_id").cast("long"), F.xxhash64(text)
     same = mine.eqNullSafe(F.col("__id")) & (hash_ == F.col("__th"))
     named = [F.col("id").alias("__id"), F.col("th").alias("__th")]
-    left = docs.join(written(judged.where("not stays").select(*named), "gone"), same, "left_anti")
+    gone = written(judged.where("not stays").select(*named), "gone")
     again = written(judged.where("stays and rows > 1").select(*named), "repeated")
+    left = docs.join(_sent(gone), same, "left_anti")
     if again.isEmpty():
         return left
+    again = _sent(again)
     one = left.join(again, same, "left_semi").select("*", mine.alias("__id"), hash_.alias("__th"))
     one = one.dropDuplicates(["__id", "__th"]).drop("__id", "__th")
     return left.join(again, same, "left_anti").unionByName(one)
