@@ -1,6 +1,7 @@
 """Staged loads: several micro-batches, restarts, failures, end marks, expiry."""
 
 import datetime
+import pathlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stageline.operators.end_mark import not_expired
 from stageline.operators.updates import update_instances
+from stageline.session import drop_path
 from stageline.sinks.stage import live_slot, refresh_stage
 from stageline.streaming import loads, run_states, run_timeouts
 from stageline.streaming.messages import MESSAGE_SCHEMA, read_messages
@@ -296,3 +298,60 @@ def test_runs_end_by_their_timers(spark, shared):
     send_states([("hung", "SUCCEEDED", 101), ("open", "SUCCEEDED", 110), ("new", "RUNNING", 200)])
     assert run() == want | {"open": (at(110), "SUCCEEDED")}
     assert run() == want | {"open": (at(110), "SUCCEEDED")}
+
+
+def _timeouts(spark, shared, files, minutes=60, files_per_trigger=1, **options):
+    """Outcomes after files of reports: key, status, minutes after the start or None."""
+    schema = "seq long, job_name string, job_instance int, status string, sent timestamp_ntz"
+    for reports in files:
+        sent = [None if m is None else START + datetime.timedelta(minutes=m) for *_, m in reports]
+        made = [(i, *key, status, at) for i, ((key, status, _), at) in enumerate(zip(reports, sent, strict=True))]
+        spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(f"{shared}/inbox")
+    stream = read_messages(spark, f"{shared}/inbox", schema, files_per_trigger=files_per_trigger)
+    query = run_timeouts.run_timeouts(stream, shared, minutes=minutes, **options)
+    query.awaitTermination()
+    told = run_timeouts.read_outcomes(spark, shared).collect()
+    assert len({r[:2] for r in told}) == len(told)
+    return query, {r[:2]: ((r.ended - START).total_seconds() / 60, r.outcome) for r in told}
+
+
+def test_no_run_costs_a_call_of_python(spark, shared):
+    """Timers are kept on frames: the work is Spark's, however many runs there are."""
+    reports = [(("j", i), "SUCCEEDED" if i % 2 else "RUNNING", i) for i in range(200)]
+    query, told = _timeouts(spark, shared, [reports])
+    assert "InPandas" not in query._jsq.explainInternal(True)
+    assert told == {("j", i): (i, "SUCCEEDED") if i % 2 else (i + 60, "TIMEOUT") for i in range(139)}
+
+
+def test_runs_and_reports_without_key_or_time(spark, shared):
+    reports = [((None, 1), "RUNNING", 0), (("j", None), "FAILED", 1), (("j", 1), "RUNNING", None), (("j", 2), "FAILED", None), (("j", 2), "RUNNING", 3)]
+    told = _timeouts(spark, shared, [reports])[1]
+    assert told == {}
+    want = {(None, 1): (60, "TIMEOUT"), ("j", None): (1, "FAILED"), ("j", 2): (63, "TIMEOUT")}
+    assert _timeouts(spark, shared, [[(("k", 1), None, 100)]])[1] == want
+    later = [((None, 1), "FAILED", 101), (("j", None), "RUNNING", 102), (("j", 2), "RUNNING", 103), (("l", 1), "RUNNING", 500)]
+    assert _timeouts(spark, shared, [later])[1] == want | {("k", 1): (160, "TIMEOUT")}
+
+
+def test_timers_of_overlapping_files_and_a_repeated_micro_batch(spark, shared):
+    a, b, c, late = [("j", i) for i in range(4)]
+    files = [[(a, "RUNNING", 50), (b, "RUNNING", 90)], [(a, "FAILED", 60), (c, "RUNNING", 40), (b, "RUNNING", 95)]]
+    _, told = _timeouts(spark, shared, files)
+    assert told == {}
+    # what is older than the watermark of an earlier query starts no run, and moves no timer
+    want = {a: (60, "FAILED"), b: (150, "TIMEOUT")}
+    _, told = _timeouts(spark, shared, [[(late, "FAILED", 30), (b, "SUCCEEDED", 94), (c, "SUCCEEDED", 97), (a, "RUNNING", 151)]])
+    assert told == want | {c: (97, "SUCCEEDED")}
+    # a micro-batch that was not acknowledged comes again
+    last = max(int(f.name) for f in (pathlib.Path(shared) / "checkpoint/commits").iterdir() if f.name.isdigit())
+    drop_path(spark, f"{shared}/checkpoint/commits/{last}")
+    assert _timeouts(spark, shared, [])[1] == told
+    assert _timeouts(spark, shared, [[(late, "FAILED", 152)], [(late, "RUNNING", 400)]])[1] == told | {late: (152, "FAILED")}
+
+
+def test_late_reports_within_the_given_time_count(spark, shared):
+    early, later = ("j", 1), ("j", 2)
+    assert _timeouts(spark, shared, [[(later, "RUNNING", 100)]], late="90 minutes")[1] == {}
+    assert _timeouts(spark, shared, [[(early, "SUCCEEDED", 20)]], late="90 minutes")[1] == {}
+    told = _timeouts(spark, shared, [[(later, "FAILED", 171)]], late="90 minutes")[1]
+    assert told == {early: (20, "SUCCEEDED")}
