@@ -41,6 +41,12 @@ SMALL_SEGMENTS, SMALL_SET = 8192, 128
 #: cells a segment's signatures are counted in, and how many times the median is expensive
 CELLS, EXPENSIVE = 4, 4
 LAST_ID = (1 << 63) - 1
+#: bytes of text that become arrays at a time; the arrays take many times as much
+TEXT_BYTES = 1 << 18
+#: names of sets that a task remembers, so that copies give no second row
+KNOWN_NAMES = 1 << 18
+#: pairs whose packed texts are taken out of a batch at a time
+PAIRS = 1024
 #: rows of one signature that are compared at a time
 COMPARE = 512
 #: rounds in which a signature with many pairs gives the nearest only, before all others
@@ -124,7 +130,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, limit=TEXT_BYTES):
         found, starts = shingle_sets(*text_bytes(batch.column("text")), shingle)
         bits = pa.array([sketch(found[i:j]) for i, j in zip(starts[:-1], starts[1:], strict=True)], pa.binary())
         columns = [*(batch.column(c) for c in ("id", "doc", "th")), pa.array(nodes(found, starts)), pa.array(np.diff(starts)), bits]
@@ -164,7 +170,7 @@ class _Segments:
 def _costs(batches: Iterator[pa.RecordBatch], shingle: int, segments: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """Counts of signatures by band, segment and cell, then the sets that fill too few segments."""
     total: dict[int, np.ndarray] = {}
-    for batch in slices(batches):
+    for batch in slices(batches, limit=TEXT_BYTES):
         found, starts = shingle_sets(*text_bytes(batch.column("text")), shingle)
         got = _Segments(found, starts, segments, None)
         cell = got.segment[got.start] * CELLS + (mix(got.hash) % np.uint64(CELLS)).astype(np.int64)
@@ -204,7 +210,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
     segments = {b: x.segments for b, x in bands.items()}
     ranks = {b: x.rank for b, x in bands.items()}
     done: set[int] = set()
-    for batch in slices(batches):
+    for batch in slices(batches, limit=TEXT_BYTES):
         found, starts = shingle_sets(*text_bytes(batch.column("text")), shingle)
         names, n = nodes(found, starts), np.diff(starts)
         fresh = []  # a set that the task has seen needs no second row
@@ -212,7 +218,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
             if n[r] and name not in done:
                 fresh.append(r)
                 done.add(name)
-        if len(done) > 1_000_000:
+        if len(done) > KNOWN_NAMES:
             done.clear()
         if not fresh:
             continue
@@ -246,7 +252,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: dict[int
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tool = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in slices(batches, limit=TEXT_BYTES):
         z = pa.array([tool.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("th"), z], names=["doc", "th", "z"])
 
@@ -265,18 +271,24 @@ def _apart(x: bytes, y: bytes) -> int:
 
 def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the proposed pairs, those that parity bits leave open."""
-    for batch in batches:
+    for batch in _few(batches, PAIRS):
         total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
         most = total * (100 - PERCENT) // (100 + PERCENT)
         sides = zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), most.tolist(), strict=True)
         yield batch.select(["a", "b"]).filter(pa.array([_apart(x, y) <= m for x, y, m in sides], pa.bool_()))
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _linked(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """Of the proposed pairs, those whose sets overlap enough."""
     known: dict[int, np.ndarray] = {}
     held = 0
-    for batch in batches:
+    for batch in _few(batches, PAIRS):
         out = np.zeros(batch.num_rows, bool)
         for i, (a, b, za, zb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "za", "zb")), strict=True)):
             if held > KNOWN_SHINGLES:

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import clashing, edge_texts, frame, prose
 
@@ -206,3 +208,27 @@ def test_components_of_long_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 401)} | {x: 1000 for x in (1000, *range(2000, 2400))}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_batch_is_worked_on_in_small_pieces():
+    """Memory follows the piece, not the batch that Spark sends; no row is lost."""
+    n = 2000
+    texts = [" ".join(str((i * 7919 + j * j) % 100_003) for j in range(300)) for i in range(n)]
+    ids = pa.array(range(n), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(texts)], names=["id", "doc", "th", "text"])
+    packed = next(iter(ngram_join._bodies(iter([batch.slice(0, 1)])))).column("z")[0].as_py()
+    pairs = [pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int64()), pa.array([packed] * n), pa.array([packed] * n)]
+    pairs = pa.RecordBatch.from_arrays(pairs, names=["a", "b", "za", "zb"])
+    sizes = {}
+    for name, given, work in (
+        ("sets", batch, lambda b: ngram_join._sets(b, 5)),
+        ("bodies", batch, ngram_join._bodies),
+        ("linked", pairs, lambda b: ngram_join._linked(b, 5)),
+    ):
+        assert sum(out.num_rows for out in work(iter([given.slice(0, 1)]))) == 1  # tables that are kept
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in work(iter([given])))
+        sizes[name] = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert rows == n
+    assert sizes["sets"] < 20 and sizes["bodies"] < 2, sizes
